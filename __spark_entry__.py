@@ -16,7 +16,7 @@ from bazaarlens.operators import cleaning, hierarchy, quality, series, star  # n
 from bazaarlens.plans import customers, dashboards, headline, operations, revenue, rfm  # noqa: E402
 from bazaarlens.session import scratch_path  # noqa: E402
 from bazaarlens.sources import sinks, staging  # noqa: E402
-from bazaarlens.sources.fixtures import CATEGORY_TREE, Fixtures  # noqa: E402
+from bazaarlens.sources.fixtures import CATEGORY_TREE, Fixtures, open_fixtures  # noqa: E402
 from oracle.queries import ORACLE  # noqa: E402
 
 # Thresholds and ranges that fit the test tables.
@@ -183,7 +183,7 @@ QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {
 
 
 def _bind(query: Callable[[Fixtures], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: plain_types(query(Fixtures(spark, folder)))
+    return lambda spark, folder: plain_types(query(open_fixtures(spark, folder)))
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -4,7 +4,9 @@ A metric is a sum or count that adds up across groups, a distinct count of
 customers, or a formula over those. ``metric`` uses that: it sums per foreign
 key first, looks dimension attributes up on the much smaller result, filters,
 and sums again, so neither a large dimension nor a key with a large share of
-the orders makes the fact table itself go through a join.
+the orders makes the fact table itself go through a join. With distinct
+customers the first sum would be per key and customer and save little, so then
+the dimensions are joined directly, and one sum per group and customer follows.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bazaarlens.functions.numeric import TOTAL, sum_if
+from bazaarlens.functions.numeric import TOTAL, cents, money, sum_if
 from bazaarlens.operators.aggregates import count_where, sums
 
 _DONE = "is_delivered"
@@ -22,15 +24,15 @@ _DONE = "is_delivered"
 
 def _divide(numerator: str, denominator: str) -> Callable[[], Column]:
     """Blank where the divisor is zero or missing."""
-    return lambda: F.try_divide(F.col(numerator).cast(TOTAL), F.col(denominator).cast("decimal(20,0)"))
+    return lambda: F.try_divide(_value(numerator).cast(TOTAL), F.col(denominator).cast("decimal(20,0)"))
 
 
-# Metrics that add up: name -> aggregate over the order fact.
+# Metrics that add up: name -> aggregate over the order fact; money in cents.
 ADDITIVE: dict[str, Callable[[], Column]] = {
     "total_orders": lambda: F.count("*"),
     "delivered_orders": lambda: count_where(F.col(_DONE)),
-    "total_revenue": lambda: sum_if(F.col(_DONE), "total_amount").cast(TOTAL),
-    "discount_given": lambda: sum_if(F.col(_DONE), "discount_applied").cast(TOTAL),
+    "total_revenue": lambda: sum_if(F.col(_DONE), cents("total_amount")),
+    "discount_given": lambda: sum_if(F.col(_DONE), cents("discount_applied")),
     "items_sold": lambda: sum_if(F.col(_DONE), "total_quantity"),
     "valid_deliveries": lambda: count_where(F.col(_DONE) & F.col("delivery_time_minutes").isNotNull()),
     "delivery_minutes": lambda: sum_if(F.col(_DONE), "delivery_time_minutes"),
@@ -63,7 +65,7 @@ class Dimension:
 def _value(name: str) -> Column:
     if name in DERIVED:
         return DERIVED[name][1]()
-    return F.col(name).cast(TOTAL) if name in _MONEY else F.col(name)
+    return money(name) if name in _MONEY else F.col(name)
 
 
 def _needed(measures: Sequence[str]) -> list[str]:
@@ -98,22 +100,23 @@ def metric(
     for attribute, dim in dims.items():
         joined.setdefault(dim.key, (dim.table, []))[1].append(attribute)
 
-    keys = [c for c in by if c not in dims]
-    keys += [k for k in joined if k not in keys]
-    if distinct and "customer_id" not in keys:
-        keys.append("customer_id")
-    summed = fact.groupBy(*keys).agg(*[ADDITIVE[n]().alias(n) for n in additive])
+    summed = fact
+    if not distinct:
+        keys = [c for c in by if c not in dims]
+        keys += [k for k in joined if k not in keys]
+        summed = fact.groupBy(*keys).agg(*[ADDITIVE[n]().alias(n) for n in additive])
     for key, (table, attributes) in joined.items():
         summed = summed.join(table.select(key, *attributes), key, "left")
     if where is not None:
         summed = summed.filter(where)
-    if distinct:
+    if not distinct:
+        result = summed.groupBy(*by).agg(*sums(additive))
+    else:
         # One row per group and customer, so counting rows counts customers once.
-        summed = summed.groupBy(*by, "customer_id").agg(*sums(additive)) if "customer_id" not in by else summed
+        keys = [*by, *(["customer_id"] if "customer_id" not in by else [])]
+        per_customer = summed.groupBy(*keys).agg(*[ADDITIVE[n]().alias(n) for n in additive])
         bought = count_where(F.col("delivered_orders") > 0).alias(ACTIVE_CUSTOMERS)
-        result = summed.groupBy(*by).agg(*sums(additive), bought)
-    else:
-        result = summed.groupBy(*by).agg(*sums(additive))
+        result = per_customer.groupBy(*by).agg(*sums(additive), bought)
     return result.select(*by, *[_value(m).alias(m) for m in measures])
 
 

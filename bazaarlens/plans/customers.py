@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bazaarlens.functions.dates import month_of, months_apart
-from bazaarlens.functions.numeric import TOTAL, percent, total
+from bazaarlens.functions.numeric import cents, money, percent
 from bazaarlens.operators.aggregates import count_where, delivered, per_key
 
 CHURN_DAYS = 90
@@ -20,7 +20,7 @@ def customer_months(orders: DataFrame) -> DataFrame:
     active = per_key(
         delivered(orders).select("customer_id", month_of("order_timestamp").alias("month"), "total_amount"),
         ["customer_id", "month"],
-        {"revenue": total("total_amount")},
+        {"cents": F.sum(cents("total_amount"))},
     )
     return active.withColumn("cohort_month", F.min("month").over(Window.partitionBy("customer_id")))
 
@@ -29,22 +29,22 @@ def new_vs_returning(orders: DataFrame) -> DataFrame:
     """Revenue per month from customers in their first month and from all others."""
     first = F.col("month") == F.col("cohort_month")
     months = customer_months(orders).groupBy("month").agg(
-        F.sum(F.when(first, F.col("revenue"))).alias("new"),
-        F.sum(F.when(~first, F.col("revenue"))).alias("back"),
-        F.sum("revenue").alias("all"),
+        F.sum(F.when(first, F.col("cents"))).alias("new"),
+        F.sum(F.when(~first, F.col("cents"))).alias("back"),
+        F.sum("cents").alias("all"),
     )
     return months.select(
         "month",
-        F.col("new").cast(TOTAL).alias("new_revenue"),
-        F.col("back").cast(TOTAL).alias("returning_revenue"),
+        money("new").alias("new_revenue"),
+        money("back").alias("returning_revenue"),
         percent("back", "all").alias("pct_returning"),
     ).orderBy("month")
 
 
 def returning_share(orders: DataFrame) -> DataFrame:
     """Share of all revenue from customers past their first month."""
-    back = F.when(F.col("month") != F.col("cohort_month"), F.col("revenue"))
-    sums = customer_months(orders).agg(F.sum(back).alias("back"), F.sum("revenue").alias("all"))
+    back = F.when(F.col("month") != F.col("cohort_month"), F.col("cents"))
+    sums = customer_months(orders).agg(F.sum(back).alias("back"), F.sum("cents").alias("all"))
     return sums.select(percent("back", "all").alias("pct_revenue_returning"))
 
 

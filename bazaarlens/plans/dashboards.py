@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bazaarlens.functions.dates import month_of
-from bazaarlens.functions.numeric import TOTAL
-from bazaarlens.operators.aggregates import count_where
+from bazaarlens.functions.numeric import TOTAL, cents, money
+from bazaarlens.operators.aggregates import count_where, per_key
 from bazaarlens.operators.metrics import Dimension, metric, revenue_label, review_metrics
 from bazaarlens.plans.customers import customer_months
 
@@ -121,13 +121,15 @@ def metrics_segment(
 ) -> DataFrame:
     """Customers and revenue by segment, for all or some segments."""
     kept = dim_customers if segments is None else dim_customers.filter(F.col("segment").isin(list(segments)))
-    spent = metric(order_facts, ["total_revenue"], by=["customer_id"])
+    spent = per_key(
+        order_facts.filter("is_delivered"), "customer_id", {"cents": F.sum(cents("total_amount"))}
+    )
     # customer_id is unique in the dimension, so counting rows counts customers.
     return (
         kept.select("customer_id", "segment")
         .join(spent, "customer_id", "left")
         .groupBy("segment")
-        .agg(F.count("customer_id").alias("customers_in_segment"), F.sum("total_revenue").cast(TOTAL).alias("total_revenue"))
+        .agg(F.count("customer_id").alias("customers_in_segment"), money(F.sum("cents")).alias("total_revenue"))
         .orderBy("segment")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bazaarlens.functions.numeric import mean, percent, sum_if
+from bazaarlens.functions.numeric import average_money, cents, mean, money, percent, sum_if
 from bazaarlens.operators.aggregates import (
     PROMISED_MINUTES,
     count_where,
@@ -26,7 +26,7 @@ def kpi_topline(customers: DataFrame, restaurants: DataFrame, orders: DataFrame)
     paid = orders.agg(
         F.count("*").alias("total_orders"),
         count_where(done).alias("delivered_orders"),
-        sum_if(done, "total_amount").alias("revenue"),
+        sum_if(done, cents("total_amount")).alias("cents"),
         F.count(F.when(done, F.col("total_amount"))).alias("priced"),
     )
     return paid.select(
@@ -34,8 +34,8 @@ def kpi_topline(customers: DataFrame, restaurants: DataFrame, orders: DataFrame)
         row_count(restaurants).alias("restaurants"),
         "total_orders",
         "delivered_orders",
-        F.round("revenue", 0).alias("total_revenue"),
-        mean("revenue", "priced", 2).alias("avg_order_value"),
+        F.round(money("cents"), 0).alias("total_revenue"),
+        average_money("cents", "priced").alias("avg_order_value"),
     )
 
 
@@ -65,7 +65,7 @@ def top_by_revenue(orders: DataFrame, restaurants: DataFrame, attribute: str, k:
     """Cities or cuisines with the most delivered revenue."""
     groups = sum_by_dimension(delivered(orders), restaurants, "restaurant_id", [attribute], orders_and_revenue())
     return (
-        groups.orderBy(F.desc_nulls_first("revenue"), attribute)
+        groups.orderBy(F.desc_nulls_first("cents"), attribute)
         .limit(k)
-        .select(attribute, "orders", F.round("revenue", 0).alias("revenue"))
+        .select(attribute, "orders", F.round(money("cents"), 0).alias("revenue"))
     )

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bazaarlens.functions.dates import month_of
-from bazaarlens.functions.numeric import TOTAL, mean, percent, total
+from bazaarlens.functions.numeric import average_money, cents, mean, money, percent
 from bazaarlens.operators.aggregates import count_where, delivered, per_key, sum_by_dimension, sums
 from bazaarlens.operators.ranking import sequence_in_group, top_per_group
+from bazaarlens.session import cut_lineage
 
 def orders_and_revenue() -> dict[str, Column]:
     return {
         "orders": F.count("*"),
-        "revenue": total("total_amount"),
+        "cents": F.sum(cents("total_amount")),
         "priced": F.count("total_amount"),  # an average leaves out missing amounts
     }
 
@@ -23,8 +24,8 @@ def revenue_by_city(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
     return city.select(
         "city",
         F.col("orders").alias("delivered_orders"),
-        F.col("revenue").cast(TOTAL).alias("revenue"),
-        mean("revenue", "priced", 2).alias("avg_order_value"),
+        money("cents").alias("revenue"),
+        average_money("cents", "priced").alias("avg_order_value"),
     ).orderBy(F.desc_nulls_first("revenue"), "city")
 
 
@@ -33,9 +34,9 @@ def top_restaurants(orders: DataFrame, restaurants: DataFrame, k: int = 15) -> D
     keyed = per_key(delivered(orders), "restaurant_id", orders_and_revenue())
     return (
         restaurants.join(keyed, "restaurant_id")
-        .select("restaurant_id", "name", "cuisine_type", "city", "avg_rating", "orders", "revenue")
-        .orderBy(F.desc_nulls_first("revenue"), "restaurant_id")
+        .orderBy(F.desc_nulls_first("cents"), "restaurant_id")
         .limit(k)
+        .select("restaurant_id", "name", "cuisine_type", "city", "avg_rating", "orders", money("cents").alias("revenue"))
     )
 
 
@@ -59,7 +60,7 @@ def cuisine_revenue(orders: DataFrame, restaurants: DataFrame, reviews: DataFram
         ["cuisine_type"],
         {
             "orders": F.sum(times),
-            "revenue": total(F.col("total_amount") * times),
+            "cents": F.sum(cents("total_amount") * times),
             "ratings": F.sum("ratings"),
             "stars": F.sum("stars"),
         },
@@ -67,7 +68,7 @@ def cuisine_revenue(orders: DataFrame, restaurants: DataFrame, reviews: DataFram
     return cuisine.select(
         "cuisine_type",
         "orders",
-        F.col("revenue").cast(TOTAL).alias("revenue"),
+        money("cents").alias("revenue"),
         mean("stars", "ratings", 2).alias("avg_review_rating"),
     ).orderBy(F.desc_nulls_first("revenue"), "cuisine_type")
 
@@ -87,7 +88,7 @@ def payment_mix(orders: DataFrame) -> DataFrame:
         "payment_method",
         "orders",
         share_of_all("orders").alias("pct_of_orders"),
-        mean("revenue", "priced", 2).alias("avg_order_value"),
+        average_money("cents", "priced").alias("avg_order_value"),
     ).orderBy(F.desc_nulls_first("orders"), "payment_method")
 
 
@@ -112,7 +113,7 @@ def popular_items(
     sold = per_key(
         delivered_lines(order_items, orders),
         "item_id",
-        {"units_sold": F.sum("quantity"), "item_revenue": total(F.col("quantity") * F.col("unit_price"))},
+        {"units_sold": F.sum("quantity"), "cents": F.sum(F.col("quantity") * cents("unit_price"))},
     )
     menu = menu_items.select("item_id", "restaurant_id", F.col("name").alias("item"), "category")
     places = restaurants.select("restaurant_id", F.col("name").alias("restaurant"))
@@ -121,7 +122,7 @@ def popular_items(
         .join(places, "restaurant_id")
         .orderBy(F.desc_nulls_first("units_sold"), "item_id")
         .limit(k)
-        .select("item", "category", "restaurant", "units_sold", "item_revenue")
+        .select("item", "category", "restaurant", "units_sold", money("cents").alias("item_revenue"))
     )
 
 
@@ -160,15 +161,16 @@ def monthly_totals(orders: DataFrame) -> DataFrame:
 def monthly_revenue(orders: DataFrame) -> DataFrame:
     """Revenue per month, running total, and change against the previous month with orders."""
     by_month = Window.orderBy("month")  # one row per month
-    before = F.lag("revenue").over(by_month)
+    before = F.lag("cents").over(by_month)
+    change = F.col("cents") - before
     return (
         monthly_totals(orders)
         .select(
             "month",
-            "revenue",
-            F.sum("revenue").over(by_month).cast(TOTAL).alias("running_total"),
-            (F.col("revenue") - before).cast(TOTAL).alias("mom_change"),
-            percent(F.col("revenue") - before, before).alias("mom_pct"),
+            money("cents").alias("revenue"),
+            money(F.sum("cents").over(by_month)).alias("running_total"),
+            money(change).alias("mom_change"),
+            percent(change, before).alias("mom_pct"),
         )
         .orderBy("month")
     )
@@ -178,25 +180,25 @@ def best_months(orders: DataFrame, k: int = 3) -> DataFrame:
     """Months with the most revenue."""
     return (
         monthly_totals(orders)
-        .orderBy(F.desc_nulls_first("revenue"), "month")
+        .orderBy(F.desc_nulls_first("cents"), "month")
         .limit(k)
-        .select(F.date_format("month", "yyyy-MM").alias("month"), F.round("revenue", 0).alias("revenue"))
+        .select(F.date_format("month", "yyyy-MM").alias("month"), F.round(money("cents"), 0).alias("revenue"))
     )
 
 
 def yearly_revenue_yoy(orders: DataFrame) -> DataFrame:
     """Revenue per year against the same months of the year before."""
     months = monthly_totals(orders).select(
-        F.year("month").alias("year"), F.month("month").alias("m"), "orders", "revenue"
+        F.year("month").alias("year"), F.month("month").alias("m"), "orders", "cents"
     )
-    earlier = months.select((F.col("year") + 1).alias("year"), "m", F.col("revenue").alias("before"))
-    yearly = months.join(earlier, ["year", "m"], "left").groupBy("year").agg(*sums(["orders", "revenue", "before"]))
+    earlier = months.select((F.col("year") + 1).alias("year"), "m", F.col("cents").alias("before"))
+    yearly = months.join(earlier, ["year", "m"], "left").groupBy("year").agg(*sums(["orders", "cents", "before"]))
     return yearly.select(
         "year",
         "orders",
-        F.col("revenue").cast(TOTAL).alias("revenue"),
-        F.col("before").cast(TOTAL).alias("revenue_same_months_last_year"),
-        percent(F.col("revenue") - F.col("before"), "before").alias("yoy_pct"),
+        money("cents").alias("revenue"),
+        money("before").alias("revenue_same_months_last_year"),
+        percent(F.col("cents") - F.col("before"), "before").alias("yoy_pct"),
     ).orderBy("year")
 
 
@@ -206,14 +208,14 @@ def month_spine(orders: DataFrame, months: DataFrame) -> DataFrame:
     found = per_key(
         orders.select(month_of("order_timestamp").alias("month"), paid.alias("paid")),
         "month",
-        {"orders": F.count("*"), "revenue": total("paid")},
+        {"orders": F.count("*"), "cents": F.sum(cents("paid"))},
     )
     return (
         months.join(found, "month", "left")
         .select(
             "month",
             F.coalesce("orders", F.lit(0)).alias("orders"),
-            F.coalesce("revenue", F.lit(0).cast(TOTAL)).alias("revenue"),
+            money(F.coalesce("cents", F.lit(0))).alias("revenue"),
         )
         .orderBy("month")
     )
@@ -222,10 +224,10 @@ def month_spine(orders: DataFrame, months: DataFrame) -> DataFrame:
 def top_restaurants_per_city(orders: DataFrame, restaurants: DataFrame, k: int = 3) -> DataFrame:
     """Restaurants of the first ``k`` revenue ranks in each city; equal names in a city count as one."""
     named = sum_by_dimension(
-        delivered(orders), restaurants, "restaurant_id", ["city", "name"], {"revenue": total("total_amount")}
+        delivered(orders), restaurants, "restaurant_id", ["city", "name"], {"cents": F.sum(cents("total_amount"))}
     )
-    ranked = top_per_group(named, ["city"], [F.desc_nulls_first("revenue")], k, "city_rank", ties=True)
-    return ranked.select("city", "name", F.col("revenue").cast(TOTAL).alias("revenue"), "city_rank").orderBy(
+    ranked = top_per_group(named, ["city"], [F.desc_nulls_first("cents")], k, "city_rank", ties=True)
+    return ranked.select("city", "name", money("cents").alias("revenue"), "city_rank").orderBy(
         F.asc_nulls_last("city"), "city_rank", "name"
     )
 
@@ -259,7 +261,10 @@ def item_rank_all(
     order_items: DataFrame, orders: DataFrame, menu_items: DataFrame, **options: int
 ) -> DataFrame:
     """Rank of every sold item within its restaurant."""
-    units = item_units(order_items, orders, menu_items).select("restaurant_id", "item_id", "units")
+    # Written out once, because the size check and the ranking both read it.
+    units = cut_lineage(
+        item_units(order_items, orders, menu_items).select("restaurant_id", "item_id", "units")
+    )
     order = [F.desc_nulls_first("units"), F.asc("item_id")]
     return sequence_in_group(units, "restaurant_id", order, "item_rank", **options)
 
@@ -292,7 +297,7 @@ def aov_vs_city(orders: DataFrame, restaurants: DataFrame, min_orders: int = 50,
     The benchmark is taken over all restaurants; ``min_orders`` filters afterwards.
     """
     keyed = per_key(delivered(orders), "restaurant_id", orders_and_revenue())
-    value = (F.col("revenue") / F.col("orders").cast("decimal(20,0)")).cast("decimal(28,10)")
+    value = (money("cents") / F.col("orders").cast("decimal(20,0)")).cast("decimal(28,10)")
     places = (
         keyed.join(restaurants.select("restaurant_id", "name", "city"), "restaurant_id")
         .filter(F.col("city").isNotNull())
@@ -329,7 +334,7 @@ def category_revenue(order_items: DataFrame, orders: DataFrame, menu_items: Data
         menu_items,
         "item_id",
         ["category"],
-        {"revenue": total(F.col("quantity") * F.col("unit_price"))},
+        {"cents": F.sum(F.col("quantity") * cents("unit_price"))},
     )
 
 
@@ -342,8 +347,8 @@ def taxonomy_rollup(categories: DataFrame, tree: DataFrame, level: int = 1, othe
         .select(
             F.coalesce("root", F.lit(other)).alias("department"),
             "category",
-            F.col("revenue").cast(TOTAL).alias("category_revenue"),
-            F.sum("revenue").over(department).cast(TOTAL).alias("department_revenue"),
+            money("cents").alias("category_revenue"),
+            money(F.sum("cents").over(department)).alias("department_revenue"),
         )
         .orderBy(F.desc_nulls_last("department_revenue"), F.desc_nulls_last("category_revenue"), "category")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bazaarlens.functions.numeric import TOTAL, mean, percent, total
+from bazaarlens.functions.numeric import average_money, cents, mean, money
 from bazaarlens.operators.aggregates import delivered, per_key
 from bazaarlens.operators.ranking import TASK_ROWS, global_ntile, measured
 from bazaarlens.plans.customers import latest_day
@@ -14,17 +14,17 @@ QUANTILES = 5
 
 
 def rfm_base(orders: DataFrame) -> DataFrame:
-    """Days since the last delivered order, number of orders and revenue per customer."""
+    """Days since the last delivered order, number of orders and revenue in cents per customer."""
     keyed = per_key(
         delivered(orders),
         "customer_id",
-        {"last": F.max("order_timestamp"), "frequency": F.count("*"), "monetary": total("total_amount")},
+        {"last": F.max("order_timestamp"), "frequency": F.count("*"), "cents": F.sum(cents("total_amount"))},
     )
     return keyed.select(
         "customer_id",
         F.datediff(latest_day(orders), F.col("last").cast("date")).alias("recency_days"),
         "frequency",
-        "monetary",
+        "cents",
     )
 
 
@@ -34,7 +34,7 @@ def rfm_scored(orders: DataFrame, buckets: int = QUANTILES, task_rows: int = TAS
     for axis, name in (
         (F.desc_nulls_first("recency_days"), "r"),
         (F.asc("frequency"), "f"),
-        (F.asc_nulls_last("monetary"), "m"),
+        (F.asc_nulls_last("cents"), "m"),
     ):
         scored = global_ntile(scored, buckets, [axis, F.asc("customer_id")], name, rows, task_rows)
     return scored
@@ -49,7 +49,7 @@ def rfm_scores(orders: DataFrame, **options: int) -> DataFrame:
             "customer_id",
             "recency_days",
             "frequency",
-            "monetary",
+            money("cents").alias("monetary"),
             *[F.col(a).alias(f"{a}_score") for a in axes],
             F.concat(*[F.col(a).cast("string") for a in axes]).alias("rfm_cell"),
             (F.col("r") + F.col("f") + F.col("m")).alias("rfm_total"),
@@ -79,7 +79,7 @@ def rfm_segments(orders: DataFrame, **options: int) -> DataFrame:
     return (
         rfm_scored(orders, **options)
         .withColumn("segment", segment_label())
-        .select("customer_id", "recency_days", "frequency", "monetary", "r", "f", "m", "segment")
+        .select("customer_id", "recency_days", "frequency", money("cents").alias("monetary"), "r", "f", "m", "segment")
         .orderBy("segment", F.desc_nulls_first("monetary"), "customer_id")
     )
 
@@ -90,9 +90,9 @@ def _by_segment(orders: DataFrame, label: Column, options: dict[str, int]) -> Da
         .groupBy(label.alias("segment"))
         .agg(
             F.count("*").alias("customers"),
-            F.sum("monetary").cast(TOTAL).alias("revenue"),
+            F.sum("cents").alias("cents"),
             F.sum("frequency").alias("orders"),
-            F.count("monetary").alias("priced"),
+            F.count("cents").alias("priced"),
         )
     )
 
@@ -105,9 +105,9 @@ def rfm_rollup(orders: DataFrame, **options: int) -> DataFrame:
             "segment",
             "customers",
             share_of_all("customers").alias("pct_customers"),
-            F.col("revenue").alias("total_revenue"),
-            share_of_all("revenue").alias("pct_revenue"),
-            mean("revenue", "priced", 2).alias("avg_revenue_per_customer"),
+            money("cents").alias("total_revenue"),
+            share_of_all("cents").alias("pct_revenue"),
+            average_money("cents", "priced").alias("avg_revenue_per_customer"),
             mean("orders", "customers", 1).alias("avg_orders"),
         )
         .orderBy(F.desc_nulls_first("total_revenue"), "segment")
@@ -118,6 +118,6 @@ def rfm_rollup_headline(orders: DataFrame, **options: int) -> DataFrame:
     """Headline variant: seven segments, without the one for lapsed high spenders."""
     return (
         _by_segment(orders, segment_label(with_cant_lose=False), options)
-        .select("segment", "customers", share_of_all("revenue").alias("pct_revenue"))
+        .select("segment", "customers", share_of_all("cents").alias("pct_revenue"))
         .orderBy(F.desc_nulls_first("pct_revenue"), "segment")
     )

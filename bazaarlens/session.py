@@ -19,6 +19,8 @@ def local_session(app: str = "bazaarlens", cores: str | int = 8) -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BAZAARLENS_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        # Recording the call site of every column expression makes plans slow to build.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from bazaarlens.functions.dates import parse_date
 from bazaarlens.sources.marketplace import Marketplace
 from bazaarlens.sources.staging import to_text
 
@@ -27,9 +28,17 @@ CATEGORY_TREE = [
     ("MEDIUM", "Sized"),
 ]
 
-
-def _date_plus(start: str, days: Column) -> Column:
-    return F.date_add(F.lit(start).cast("date"), days.cast("int"))
+# Columns read from each file; a declared schema spares a look at the footers.
+FILES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_type string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double",
+}
 
 
 class Fixtures:
@@ -40,7 +49,7 @@ class Fixtures:
         self.folder = folder
 
     def _read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self.spark.read.schema(FILES[table]).parquet(f"{self.folder}/{table}.parquet")
 
     @cached_property
     def _suppliers(self) -> int:
@@ -48,188 +57,169 @@ class Fixtures:
 
     @cached_property
     def customers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        nation = self._read("nation")
         return (
             self._read("customer")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                key.alias("customer_id"),
-                F.col("c_name").alias("name"),
-                F.when(key % 25 != 0, F.col("n_name")).alias("city"),
-                _date_plus("1994-06-01", key % 900).alias("signup_date"),
-                F.lower("c_mktsegment").alias("segment"),
+            .join(self._read("nation"), F.expr("c_nationkey = n_nationkey"))
+            .selectExpr(
+                "c_custkey AS customer_id",
+                "c_name AS name",
+                "CASE WHEN c_custkey % 25 <> 0 THEN n_name END AS city",
+                "date_add(DATE '1994-06-01', int(c_custkey % 900)) AS signup_date",
+                "lower(c_mktsegment) AS segment",
             )
         )
 
     @cached_property
     def _located_suppliers(self) -> DataFrame:
-        return self._read("supplier").join(
-            self._read("nation"), F.col("s_nationkey") == F.col("n_nationkey")
-        )
+        return self._read("supplier").join(self._read("nation"), F.expr("s_nationkey = n_nationkey"))
 
     @cached_property
     def restaurants(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        rating = ((key * 37 % 240 + 260) / 100).cast("decimal(3,2)")
         return self._located_suppliers.join(
-            self._read("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        ).select(
-            key.alias("restaurant_id"),
-            F.col("s_name").alias("name"),
-            F.col("r_name").alias("cuisine_type"),
-            F.col("n_name").alias("city"),
-            _date_plus("1990-01-01", key % 1500).alias("active_since"),
-            F.when(key % 20 != 7, rating).alias("avg_rating"),
+            self._read("region"), F.expr("n_regionkey = r_regionkey")
+        ).selectExpr(
+            "s_suppkey AS restaurant_id",
+            "s_name AS name",
+            "r_name AS cuisine_type",
+            "n_name AS city",
+            "date_add(DATE '1990-01-01', int(s_suppkey % 1500)) AS active_since",
+            "CASE WHEN s_suppkey % 20 <> 7"
+            " THEN cast((260 + s_suppkey * 37 % 240) / 100 AS decimal(3,2)) END AS avg_rating",
         )
 
     @cached_property
     def menu_items(self) -> DataFrame:
-        return self._read("part").select(
-            F.col("p_partkey").alias("item_id"),
-            (F.col("p_partkey") % self._suppliers).alias("restaurant_id"),
-            F.col("p_name").alias("name"),
-            F.col("p_type").alias("category"),
-            F.col("p_retailprice").cast("decimal(8,2)").alias("price"),
+        return self._read("part").selectExpr(
+            "p_partkey AS item_id",
+            f"p_partkey % {self._suppliers} AS restaurant_id",
+            "p_name AS name",
+            "p_type AS category",
+            "cast(p_retailprice AS decimal(8,2)) AS price",
         )
 
     @cached_property
     def riders(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        vehicles = F.array(*[F.lit(v) for v in ("bike", "scooter", "car", "bicycle")])
-        return self._located_suppliers.select(
-            key.alias("rider_id"),
-            F.col("s_name").alias("name"),
-            F.col("n_name").alias("city"),
-            _date_plus("1991-01-01", key % 1900).alias("join_date"),
-            F.get(vehicles, (key % 4).cast("int")).alias("vehicle_type"),
+        return self._located_suppliers.selectExpr(
+            "s_suppkey AS rider_id",
+            "s_name AS name",
+            "n_name AS city",
+            "date_add(DATE '1991-01-01', int(s_suppkey % 1900)) AS join_date",
+            "array('bike', 'scooter', 'car', 'bicycle')[int(s_suppkey % 4)] AS vehicle_type",
         )
 
     @cached_property
     def orders(self) -> DataFrame:
-        key, customer = F.col("o_orderkey"), F.col("o_custkey")
-        mixed, source = key + customer, F.col("o_orderstatus")
-        n = F.lit(self._suppliers)
-        status = (
-            F.when(source == "O", "cancelled")
-            .when((source == "P") & (mixed % 4 == 0), "in_progress")
-            .when((source == "P") & (mixed % 4 == 1), "refunded")
-            .otherwise("delivered")
-        )
-        minutes = (
-            F.when((source == "O") | (key % 199 == 0), F.lit(None))
-            .when(key % 201 == 0, -1 - key % 20)
-            .when(key % 167 == 0, 300 + key % 301)
-            .otherwise(15 + (key * 37 + customer * 11) % 56)
-        )
-        clock = F.make_dt_interval(
-            hours=(8 + key % 16).cast("int"), mins=(key * 7 % 60).cast("int")
-        )
-        return self._read("orders").select(
-            key.alias("order_id"),
-            customer.alias("customer_id"),
-            (key % n).alias("restaurant_id"),
-            F.when(source != "O", F.call_function("div", key, n) % n).alias("rider_id"),
-            (F.col("o_orderdate") + clock).alias("order_timestamp"),
-            status.alias("status"),
-            F.col("o_orderpriority").alias("payment_method"),
-            F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"),
-            minutes.cast("int").alias("delivery_time_minutes"),
-            F.when(key % 20 < 7, 5 * (1 + key % 4)).otherwise(0).cast("decimal(12,2)").alias("discount_applied"),
+        n = self._suppliers
+        return self._read("orders").selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS customer_id",
+            f"o_orderkey % {n} AS restaurant_id",
+            f"CASE WHEN o_orderstatus <> 'O' THEN (o_orderkey div {n}) % {n} END AS rider_id",
+            "o_orderdate + make_dt_interval(0, int(8 + o_orderkey % 16), int(o_orderkey * 7 % 60))"
+            " AS order_timestamp",
+            "CASE WHEN o_orderstatus = 'O' THEN 'cancelled'"
+            " WHEN o_orderstatus = 'P' AND (o_orderkey + o_custkey) % 4 = 0 THEN 'in_progress'"
+            " WHEN o_orderstatus = 'P' AND (o_orderkey + o_custkey) % 4 = 1 THEN 'refunded'"
+            " ELSE 'delivered' END AS status",
+            "o_orderpriority AS payment_method",
+            "cast(o_totalprice AS decimal(12,2)) AS total_amount",
+            "int(CASE WHEN o_orderstatus = 'O' OR o_orderkey % 199 = 0 THEN NULL"
+            " WHEN o_orderkey % 201 = 0 THEN -1 - o_orderkey % 20"
+            " WHEN o_orderkey % 167 = 0 THEN 300 + o_orderkey % 301"
+            " ELSE 15 + (o_orderkey * 37 + o_custkey * 11) % 56 END) AS delivery_time_minutes",
+            "cast(CASE WHEN o_orderkey % 20 < 7 THEN 5 * (1 + o_orderkey % 4) ELSE 0 END AS decimal(12,2))"
+            " AS discount_applied",
         )
 
     @cached_property
     def order_items(self) -> DataFrame:
-        part = self._read("part").select("p_partkey", "p_retailprice")
         return (
             self._read("lineitem")
-            .join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .select(
-                F.col("l_orderkey").alias("order_id"),
-                F.col("l_partkey").alias("item_id"),
-                F.col("l_quantity").cast("int").alias("quantity"),
-                F.col("p_retailprice").cast("decimal(8,2)").alias("unit_price"),
+            .join(self._read("part").select("p_partkey", "p_retailprice"), F.expr("l_partkey = p_partkey"))
+            .selectExpr(
+                "l_orderkey AS order_id",
+                "l_partkey AS item_id",
+                "int(l_quantity) AS quantity",
+                "cast(p_retailprice AS decimal(8,2)) AS unit_price",
             )
         )
 
     @cached_property
     def raw_reviews(self) -> DataFrame:
         """Text level: dates in three spellings, missing ratings blank."""
-        order, mixed = F.col("order_id"), F.col("order_id") + F.col("customer_id")
-        day = F.date_add(F.col("order_timestamp").cast("date"), (order % 11).cast("int"))
-        spelled = (
-            F.when(order % 67 == 0, F.date_format(day, "dd/MM/yyyy"))
-            .when(order % 53 == 0, F.date_format(day, "MM/dd/yyyy"))
-            .otherwise(F.date_format(day, "yyyy-MM-dd"))
-        )
-        rating = F.when(mixed % 40 == 2, "").otherwise((1 + (mixed / 2).cast("bigint") % 5).cast("string"))
-        return self.orders.filter(
-            F.col("status").isin("delivered", "refunded") & (mixed % 2 == 0)
-        ).select(
-            order.cast("string").alias("review_id"),
-            order.cast("string").alias("order_id"),
-            rating.alias("rating"),
-            F.lit("").alias("review_text"),
-            spelled.alias("review_date"),
+        return (
+            self.orders.filter("status IN ('delivered', 'refunded') AND (order_id + customer_id) % 2 = 0")
+            .selectExpr(
+                "order_id",
+                "order_id + customer_id AS mixed",
+                "date_add(date(order_timestamp), int(order_id % 11)) AS day",
+            )
+            .selectExpr(
+                "string(order_id) AS review_id",
+                "string(order_id) AS order_id",
+                "CASE WHEN mixed % 40 = 2 THEN '' ELSE string(1 + mixed div 2 % 5) END AS rating",
+                "'' AS review_text",
+                "CASE WHEN order_id % 67 = 0 THEN date_format(day, 'dd/MM/yyyy')"
+                " WHEN order_id % 53 = 0 THEN date_format(day, 'MM/dd/yyyy')"
+                " ELSE date_format(day, 'yyyy-MM-dd') END AS review_date",
+            )
         )
 
     @cached_property
     def reviews(self) -> DataFrame:
         """Typed reviews of the orders at hand."""
-        from bazaarlens.functions.dates import parse_date
-
         return self.raw_reviews.select(
-            F.col("review_id").cast("bigint").alias("review_id"),
-            F.col("order_id").cast("bigint").alias("order_id"),
-            F.nullif("rating", F.lit("")).cast("int").alias("rating"),
-            F.nullif("review_text", F.lit("")).alias("review_text"),
+            F.expr("bigint(review_id) AS review_id"),
+            F.expr("bigint(order_id) AS order_id"),
+            F.expr("int(nullif(rating, '')) AS rating"),
+            F.expr("nullif(review_text, '') AS review_text"),
             parse_date(F.col("review_date")).alias("review_date"),
         )
 
     @cached_property
     def raw_customers(self) -> DataFrame:
         """Text level: untidy cities, and some customers signed up twice."""
-        key = F.col("customer_id")
-        city = (
-            F.when(key % 33 == 1, F.lower("city"))
-            .when(key % 33 == 2, F.upper("city"))
-            .when(key % 33 == 3, F.concat("city", F.lit(" ")))
-            .otherwise(F.col("city"))
-        )
-        date = F.col("signup_date")
-        untidy = self.customers.withColumn("city", city)
-        again = untidy.filter(key % 61 == 5).withColumn(
+        untidy = self.customers.selectExpr(
+            "customer_id",
+            "name",
+            "CASE customer_id % 33 WHEN 1 THEN lower(city) WHEN 2 THEN upper(city)"
+            " WHEN 3 THEN city || ' ' ELSE city END AS city",
             "signup_date",
-            F.when(key % 3 == 0, F.date_format(date, "dd/MM/yyyy"))
-            .when(key % 3 == 1, F.date_format(date, "MM-dd-yyyy"))
-            .otherwise(F.date_format(date, "dd-MMM-yyyy")),
-        ).withColumn("customer_id", key + DUPLICATE_OFFSET)
-        return to_text(untidy.withColumn("signup_date", date.cast("string")).unionByName(again))
+            "segment",
+        )
+        again = untidy.filter("customer_id % 61 = 5").selectExpr(
+            f"customer_id + {DUPLICATE_OFFSET} AS customer_id",
+            "name",
+            "city",
+            "CASE customer_id % 3 WHEN 0 THEN date_format(signup_date, 'dd/MM/yyyy')"
+            " WHEN 1 THEN date_format(signup_date, 'MM-dd-yyyy')"
+            " ELSE date_format(signup_date, 'dd-MMM-yyyy') END AS signup_date",
+            "segment",
+        )
+        return to_text(untidy.withColumn("signup_date", F.expr("string(signup_date)")).unionByName(again))
 
     @cached_property
     def raw_orders(self) -> DataFrame:
         """Text level: some orders were placed under the second sign-up."""
-        customer = F.col("customer_id")
-        moved = (customer % 61 == 5) & (F.col("order_id") % 7 == 3)
-        return to_text(
-            self.orders.withColumn(
-                "customer_id", F.when(moved, customer + DUPLICATE_OFFSET).otherwise(customer)
-            )
+        moved = F.expr(
+            "CASE WHEN customer_id % 61 = 5 AND order_id % 7 = 3"
+            f" THEN customer_id + {DUPLICATE_OFFSET} ELSE customer_id END"
         )
+        return to_text(self.orders.withColumn("customer_id", moved))
 
-    @property
+    @cached_property
     def raw_restaurants(self) -> DataFrame:
         return to_text(self.restaurants)
 
-    @property
+    @cached_property
     def raw_menu_items(self) -> DataFrame:
         return to_text(self.menu_items)
 
-    @property
+    @cached_property
     def raw_riders(self) -> DataFrame:
         return to_text(self.riders)
 
-    @property
+    @cached_property
     def raw_order_items(self) -> DataFrame:
         return to_text(self.order_items)
 
@@ -249,3 +239,14 @@ class Fixtures:
             self.order_items,
             self.reviews,
         )
+
+
+_OPEN: dict[tuple[str, str], Fixtures] = {}
+
+
+def open_fixtures(spark: SparkSession, folder: str) -> Fixtures:
+    """The tables of a folder, built once per application; DataFrames are lazy, nothing is cached."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _OPEN:
+        _OPEN[key] = Fixtures(spark, folder)
+    return _OPEN[key]

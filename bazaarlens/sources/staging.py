@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from bazaarlens.schemas import TABLES, as_text
@@ -32,6 +32,4 @@ def write_text(df: DataFrame, path: str) -> None:
 
 def to_text(df: DataFrame) -> DataFrame:
     """Every column as a string, missing values as blanks, as in a raw extract."""
-    return df.select(
-        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns]
-    )
+    return df.selectExpr(*[f"coalesce(string(`{c}`), '') AS `{c}`" for c in df.columns])

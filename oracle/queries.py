@@ -325,7 +325,7 @@ _BODIES: dict[str, str] = {
         SELECT order_id, item_id, {big("quantity")} AS quantity, {money("price_cents")} AS unit_price
         FROM m_items WHERE order_id IN (SELECT order_id FROM m_clean_orders)""",
     "clean_reviews": f"""
-        SELECT review_id, order_id, {big("rating")} AS rating, CAST(NULL AS VARCHAR) AS review_text, review_date
+        SELECT review_id, order_id, {big("rating")} AS rating, '' AS review_text, review_date
         FROM m_reviews WHERE order_id IN (SELECT order_id FROM m_clean_orders)""",
     "constraint_audit": "\nUNION ALL ".join(
         f"SELECT '{table}' AS table_name, '{rule}' AS rule, ({found}) AS violations" for table, rule, found in _AUDIT
