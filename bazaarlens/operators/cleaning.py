@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.dates import DATE_PATTERNS, parse_date
 from bazaarlens.functions.text import blank_to_null, natural_key, standard_city
+from bazaarlens.operators.joins import broadcast_if_small
 from bazaarlens.schemas import MONEY, PRICE
 from bazaarlens.sources.marketplace import Marketplace
 
@@ -106,9 +107,10 @@ def typed_orders(raw: DataFrame) -> DataFrame:
 
 def clean_orders(raw: DataFrame, customers: DataFrame, restaurants: DataFrame) -> DataFrame:
     """Typed orders of customers and restaurants that were kept."""
+    known = broadcast_if_small(restaurants.select("restaurant_id"))
     return (
         typed_orders(raw)
-        .join(restaurants.select("restaurant_id"), "restaurant_id", "left_semi")
+        .join(known, "restaurant_id", "left_semi")
         .join(customers.select("customer_id"), "customer_id", "left_semi")
     )
 

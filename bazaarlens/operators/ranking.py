@@ -12,14 +12,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from bazaarlens.operators.joins import broadcast_if_small
 from bazaarlens.session import cut_lineage
 
 # Up to this many rows are ordered by a plain window in one task.
 TASK_ROWS = 1_000_000
 
-# Up to this many group keys are sent to every task.
-BROADCAST_KEYS = 1_000_000
-
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
@@ -156,11 +154,10 @@ def sequence_in_group(
     if rows is not None and rows <= task_rows:
         return _plain_sequence(df, group, order, name, previous)
     sizes = df.groupBy(group).agg(F.count("*").alias("_n"))
-    large, groups = measured(sizes.filter(F.col("_n") > task_rows).select(group))
-    if groups == 0:
+    large = cut_lineage(sizes.filter(F.col("_n") > task_rows).select(group))
+    if large.isEmpty():
         return _plain_sequence(df, group, order, name, previous)
-    if groups <= BROADCAST_KEYS:
-        large = F.broadcast(large)
+    large = broadcast_if_small(large)
     same = df[group].eqNullSafe(large[group])
     rest = df.join(large, same, "left_anti")
     hot = df.join(large, same, "left_semi")
