@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.numeric import TOTAL, cents, money, sum_if
 from bazaarlens.operators.aggregates import count_where, sums
+from bazaarlens.operators.joins import broadcast_if_small
 
 _DONE = "is_delivered"
 
@@ -77,20 +78,40 @@ def _needed(measures: Sequence[str]) -> list[str]:
     return needed
 
 
+def _slice(fact: DataFrame, attribute: str, values: Sequence, dim: Dimension | None) -> DataFrame:
+    """Facts whose dimension member has one of ``values``.
+
+    The lowest and highest matching keys are looked up first and become a range
+    filter, which reaches the scan and skips row groups; ``month`` is filtered
+    too where the fact is partitioned by it.
+    """
+    if dim is None:
+        return fact.filter(F.col(attribute).isin(list(values)))
+    key = dim.key
+    keys = dim.table.filter(F.col(attribute).isin(list(values))).select(key)
+    low, high = keys.agg(F.min(key), F.max(key)).first()
+    kept = fact.filter(F.col(key).between(F.lit(low), F.lit(high)))
+    if key == "date_key" and "month" in fact.columns:
+        kept = kept.filter(F.col("month").between(F.trunc(F.lit(low), "MM"), F.trunc(F.lit(high), "MM")))
+    return kept.join(broadcast_if_small(keys), key, "left_semi")
+
+
 def metric(
     fact: DataFrame,
     measures: Sequence[str],
     by: Sequence[str] = (),
     dims: Mapping[str, Dimension] | None = None,
-    where: Column | None = None,
+    slicers: Mapping[str, Sequence] | None = None,
 ) -> DataFrame:
     """Evaluate ``measures`` for each combination of ``by``.
 
-    ``dims`` maps attribute names used in ``by`` or ``where`` to the dimension
-    that has them; all other names are columns of the fact. ``where`` filters
-    dimension attributes and grouping columns.
+    ``dims`` maps attribute names used in ``by`` or ``slicers`` to the dimension
+    that has them; all other names are columns of the fact. ``slicers`` keeps the
+    listed values of an attribute, before anything is summed.
     """
     dims = dims or {}
+    for attribute, values in (slicers or {}).items():
+        fact = _slice(fact, attribute, values, dims.get(attribute))
     needed = _needed(measures)
     additive = [n for n in needed if n in ADDITIVE]
     distinct = ACTIVE_CUSTOMERS in needed
@@ -98,7 +119,8 @@ def metric(
         additive.append("delivered_orders")
     joined: dict[str, tuple[DataFrame, list[str]]] = {}
     for attribute, dim in dims.items():
-        joined.setdefault(dim.key, (dim.table, []))[1].append(attribute)
+        if attribute in by:
+            joined.setdefault(dim.key, (dim.table, []))[1].append(attribute)
 
     summed = fact
     if not distinct:
@@ -107,8 +129,6 @@ def metric(
         summed = fact.groupBy(*keys).agg(*[ADDITIVE[n]().alias(n) for n in additive])
     for key, (table, attributes) in joined.items():
         summed = summed.join(table.select(key, *attributes), key, "left")
-    if where is not None:
-        summed = summed.filter(where)
     if not distinct:
         result = summed.groupBy(*by).agg(*sums(additive))
     else:

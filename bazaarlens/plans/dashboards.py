@@ -158,12 +158,8 @@ def metric_by_city_filtered(
 ) -> DataFrame:
     """Revenue by city for the chosen years and cities."""
     dims = {"city": Dimension(dim_restaurants, "restaurant_id"), "year": Dimension(dim_date, "date_key")}
-    chosen = F.lit(True)
-    if years is not None:
-        chosen = chosen & F.col("year").isin(list(years))
-    if cities is not None:
-        chosen = chosen & F.col("city").isin(list(cities))
-    return metric(order_facts, ["total_revenue"], by=["city"], dims=dims, where=chosen).orderBy("city")
+    chosen = {name: values for name, values in (("year", years), ("city", cities)) if values is not None}
+    return metric(order_facts, ["total_revenue"], by=["city"], dims=dims, slicers=chosen).orderBy("city")
 
 
 SPEED = ("total_orders", "valid_deliveries", "avg_delivery_time", "on_time_rate")

@@ -8,9 +8,13 @@ from pyspark.sql import types as T
 from bazaarlens.schemas import TABLES, as_text
 
 
-def read_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with an all-string schema: no value can fail the load."""
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+def read_text(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
+    """Header CSV with an all-string schema: no value can fail the load.
+
+    ``multiline`` accepts line breaks inside quotes, at the price of one task per file.
+    """
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
+    return reader.option("multiLine", multiline).csv(path)
 
 
 def stage(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
