@@ -16,7 +16,7 @@ from bazaarlens.operators.joins import broadcast_if_small
 from bazaarlens.session import cut_lineage
 
 # Up to this many rows are ordered by a plain window in one task.
-TASK_ROWS = 1_000_000
+TASK_ROWS = 200_000
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
@@ -93,16 +93,27 @@ def global_ntile(
 
 
 def rank_by_value(
-    df: DataFrame, value: str, rank: str, percent_rank: str, task_rows: int = TASK_ROWS
+    df: DataFrame,
+    value: str,
+    rank: str,
+    percent_rank: str,
+    rows: int | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """``RANK`` and ``PERCENT_RANK`` over all rows by one ascending column.
 
-    Ties are counted per distinct value first, so a value shared by many rows
+    ``rows`` is the row count where the caller knows it; few rows take the plain
+    window. Otherwise ties are counted per distinct value first, so a value shared by many rows
     costs one row; NULLs rank last.
     """
     order = [F.col(value).asc_nulls_last()]
-    values, distinct = measured(df.groupBy(value).agg(F.count("*").alias("_n")))
-    rows = F.lit(values.agg(F.sum("_n")).first()[0] or 0)
+    if rows is not None and rows <= task_rows:
+        window = Window.orderBy(*order)
+        return df.withColumn(rank, F.rank().over(window).cast("bigint")).withColumn(
+            percent_rank, F.percent_rank().over(window)
+        )
+    values = cut_lineage(df.groupBy(value).agg(F.count("*").alias("_n")))
+    distinct, rows = values.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
     up_to = Window.rowsBetween(Window.unboundedPreceding, -1)
     if distinct <= task_rows:
         before = F.sum("_n").over(up_to.orderBy(*order))
@@ -118,7 +129,7 @@ def rank_by_value(
             "_rank", F.col("_start") + F.coalesce(local, F.lit(0)) + 1
         )
     ranked = ranked.select(F.col(value).alias("_value"), "_rank")
-    share = (F.col("_rank") - 1) / F.greatest(rows - 1, F.lit(1))
+    share = (F.col("_rank") - 1) / F.lit(max(rows - 1, 1))
     return df.join(ranked, F.col(value).eqNullSafe(F.col("_value"))).select(
         *df.columns, F.col("_rank").alias(rank), share.alias(percent_rank)
     )

@@ -13,7 +13,7 @@ from bazaarlens.operators.aggregates import (
     sums,
     timed_deliveries,
 )
-from bazaarlens.operators.ranking import TASK_ROWS, global_ntile, rank_by_value
+from bazaarlens.operators.ranking import TASK_ROWS, global_ntile, measured, rank_by_value
 from bazaarlens.plans.revenue import share_of_all, status_counts
 
 
@@ -94,12 +94,14 @@ def rider_percentiles(
     keyed = per_key(
         timed_deliveries(orders).filter(F.col("rider_id").isNotNull()), "rider_id", _timing()
     ).filter(F.col("deliveries") >= min_deliveries)
-    named = keyed.join(riders.select("rider_id", "name", "city"), "rider_id").select(
-        "rider_id", "name", "city", "deliveries", mean("minutes", "deliveries", 1).alias("avg_minutes")
+    named, rows = measured(
+        keyed.join(riders.select("rider_id", "name", "city"), "rider_id").select(
+            "rider_id", "name", "city", "deliveries", mean("minutes", "deliveries", 1).alias("avg_minutes")
+        )
     )
     order = [F.asc("avg_minutes"), F.asc("rider_id")]
-    quartile = global_ntile(named, 4, order, "speed_quartile", task_rows=task_rows)
-    ranked = rank_by_value(quartile, "avg_minutes", "fastest_rank", "share", task_rows)
+    quartile = global_ntile(named, 4, order, "speed_quartile", rows, task_rows)
+    ranked = rank_by_value(quartile, "avg_minutes", "fastest_rank", "share", rows, task_rows)
     share = F.round((100 * F.col("share")).cast("decimal(18,6)"), 1)
     return ranked.orderBy("avg_minutes", "rider_id").select(
         "name", "city", "deliveries", "avg_minutes", "speed_quartile", share.alias("pct_rank"), "fastest_rank"

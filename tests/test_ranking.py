@@ -58,13 +58,14 @@ def test_rank_and_percent_rank_equal_window(scores, task_rows):
     expected = scores.withColumn("r", F.rank().over(window).cast("bigint")).withColumn(
         "p", F.percent_rank().over(window)
     )
-    assert same(rank_by_value(scores, "v", "r", "p", task_rows), expected)
+    assert same(rank_by_value(scores, "v", "r", "p", task_rows=task_rows), expected)
+    assert same(rank_by_value(scores, "v", "r", "p", scores.count(), task_rows), expected)
 
 
 def test_rank_of_one_row_and_of_none(spark):
     single = spark.createDataFrame([(3,)], "v int")
-    assert rows(rank_by_value(single, "v", "r", "p", 0)) == [(3, 1, 0.0)]
-    assert rows(rank_by_value(single.limit(0), "v", "r", "p", 0)) == []
+    assert rows(rank_by_value(single, "v", "r", "p", task_rows=0)) == [(3, 1, 0.0)]
+    assert rows(rank_by_value(single.limit(0), "v", "r", "p", task_rows=0)) == []
     assert rows(global_ntile(single.limit(0), 5, [F.asc("v")], "b", task_rows=0)) == []
 
 
