@@ -108,34 +108,41 @@ def typed_orders(raw: DataFrame) -> DataFrame:
 def clean_orders(raw: DataFrame, customers: DataFrame, restaurants: DataFrame) -> DataFrame:
     """Typed orders of customers and restaurants that were kept."""
     known = broadcast_if_small(restaurants.select("restaurant_id"))
+    typed = typed_orders(raw)
     return (
-        typed_orders(raw)
-        .join(known, "restaurant_id", "left_semi")
+        typed.join(known, "restaurant_id", "left_semi")
         .join(customers.select("customer_id"), "customer_id", "left_semi")
+        .select(*typed.columns)
     )
 
 
+def _of_kept_orders(child: DataFrame, orders: DataFrame) -> DataFrame:
+    return child.join(orders.select("order_id"), "order_id", "left_semi").select(*child.columns)
+
+
 def clean_order_items(raw: DataFrame, orders: DataFrame) -> DataFrame:
     """Typed lines of orders that were kept; the line id is optional in the input."""
     line = [_number("order_item_id", "bigint")] if "order_item_id" in raw.columns else []
-    return raw.select(
+    typed = raw.select(
         *line,
         _number("order_id", "bigint"),
         _number("item_id", "bigint"),
         _number("quantity", "int"),
         _optional("unit_price", PRICE),
-    ).join(orders.select("order_id"), "order_id", "left_semi")
+    )
+    return _of_kept_orders(typed, orders)
 
 
 def clean_reviews(raw: DataFrame, orders: DataFrame, patterns: Sequence[str] = DATE_PATTERNS) -> DataFrame:
     """Typed reviews of orders that were kept."""
-    return raw.select(
+    typed = raw.select(
         _number("review_id", "bigint"),
         _number("order_id", "bigint"),
         _optional("rating", "int"),
         "review_text",
         parse_date(F.col("review_date"), patterns).alias("review_date"),
-    ).join(orders.select("order_id"), "order_id", "left_semi")
+    )
+    return _of_kept_orders(typed, orders)
 
 
 def clean_all(raw: dict[str, DataFrame]) -> Marketplace:

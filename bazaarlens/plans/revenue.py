@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from bazaarlens.functions.dates import month_of
 from bazaarlens.functions.numeric import average_money, cents, mean, money, percent
 from bazaarlens.operators.aggregates import count_where, delivered, per_key, sum_by_dimension, sums
-from bazaarlens.operators.ranking import sequence_in_group, top_per_group
-from bazaarlens.session import cut_lineage
+from bazaarlens.operators.ranking import measured, sequence_in_group, top_per_group
 
 def orders_and_revenue() -> dict[str, Column]:
     return {
@@ -267,11 +266,11 @@ def item_rank_all(
 ) -> DataFrame:
     """Rank of every sold item within its restaurant."""
     # Written out once, because the size check and the ranking both read it.
-    units = cut_lineage(
+    units, rows = measured(
         item_units(order_items, orders, menu_items).select("restaurant_id", "item_id", "units")
     )
     order = [F.desc_nulls_first("units"), F.asc("item_id")]
-    return sequence_in_group(units, "restaurant_id", order, "item_rank", **options)
+    return sequence_in_group(units, "restaurant_id", order, "item_rank", rows=rows, **options)
 
 
 def order_sequence(orders: DataFrame, k: int | None = 200, **options: int) -> DataFrame:
