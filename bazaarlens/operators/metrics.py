@@ -149,7 +149,7 @@ def review_metrics(fact_reviews: DataFrame, by: Sequence[str] = ()) -> DataFrame
 
 def revenue_label(value: Column) -> Column:
     """Revenue in crore or lakh with two decimals, or in full below one lakh."""
-    crore, lakh = F.lit(10_000_000), F.lit(100_000)
+    crore, lakh = F.lit(10_000_000), F.lit(100_000)  # fixed values
 
     def scaled(unit: Column, suffix: str) -> Column:
         amount = F.round(value / unit, 2)

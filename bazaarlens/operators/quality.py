@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bazaarlens.operators.aggregates import count_where
+from bazaarlens.operators.aggregates import VALID_MINUTES, count_where
 from bazaarlens.schemas import DOMAINS, FOREIGN_KEYS, PRIMARY_KEYS, RANGES, REQUIRED
 
 
@@ -34,7 +34,7 @@ def dq_summary(
     minutes = F.col("delivery_time_minutes")
     times = orders.agg(
         count_where(minutes.isNull()).alias("null_delivery_times"),
-        count_where(minutes > 180).alias("outlier_delivery_times"),
+        count_where(minutes > VALID_MINUTES[1]).alias("outlier_delivery_times"),
     )
     kept = scalar(customers, F.count("*"))
     return times.select(
@@ -60,26 +60,32 @@ def _value_rules(table: str, columns: list[str], domains: Mapping, ranges: Mappi
     return rules
 
 
-def _audit_rows(table: str, df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Single-row rules and key uniqueness of one table in one pass.
-
-    Rows beyond the first of a key value are surplus. Counting per key first lets
-    every task combine the copies of a key before the shuffle.
-    """
+def _audit_values(table: str, df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """All single-row rules of a table in one scan without a shuffle of its rows."""
     names = list(rules)
-    counts = [count_where(rules[n]).alias(f"v{i}") for i, n in enumerate(names)]
-    key = PRIMARY_KEYS[table]
-    if key in df.columns:
-        surplus = F.when(F.col(key).isNotNull(), F.col("rows") - 1).otherwise(0)
-        df = df.groupBy(key).agg(*counts, F.count("*").alias("rows"))
-        counts = [F.sum(f"v{i}").alias(f"v{i}") for i in range(len(names))]
-        counts.append(F.sum(surplus).alias(f"v{len(names)}"))
-        names.append(f"{key} unique")
+    counts = df.agg(*[count_where(rules[n]).alias(f"v{i}") for i, n in enumerate(names)])
     pairs = F.array(
-        *[F.struct(F.lit(n).alias("rule"), F.coalesce(f"v{i}", F.lit(0)).alias("violations")) for i, n in enumerate(names)]
+        *[F.struct(F.lit(n).alias("rule"), F.col(f"v{i}").alias("violations")) for i, n in enumerate(names)]
+    )
+    return counts.select(F.explode(pairs).alias("r")).select(
+        F.lit(table).alias("table_name"), "r.rule", "r.violations"
+    )
+
+
+def _audit_unique(table: str, df: DataFrame, key: str) -> DataFrame:
+    """Rows beyond the first of each key value.
+
+    Kept apart from the other rules: keys are nearly unique, so this shuffle
+    carries almost every row, and nothing but the key should travel with it.
+    """
+    surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint")
+    return (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count("*").alias("n"))
+        .agg(surplus.alias("violations"))
+        .select(F.lit(table).alias("table_name"), F.lit(f"{key} unique").alias("rule"), "violations")
     )
-    found = df.agg(*counts).select(F.explode(pairs).alias("r"))
-    return found.select(F.lit(table).alias("table_name"), "r.rule", "r.violations")
 
 
 def _audit_reference(child: str, df: DataFrame, column: str, parent: DataFrame, key: str, name: str) -> DataFrame:
@@ -97,7 +103,9 @@ def constraint_audit(
     """Violations of every key, reference, domain, range and not-null rule."""
     found = []
     for name, df in tables.items():
-        found.append(_audit_rows(name, df, _value_rules(name, df.columns, domains, ranges)))
+        if PRIMARY_KEYS[name] in df.columns:
+            found.append(_audit_unique(name, df, PRIMARY_KEYS[name]))
+        found.append(_audit_values(name, df, _value_rules(name, df.columns, domains, ranges)))
     for child, column, parent, key in FOREIGN_KEYS:
         if child in tables and parent in tables:
             found.append(_audit_reference(child, tables[child], column, tables[parent], key, parent))

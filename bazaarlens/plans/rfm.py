@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.numeric import average_money, cents, mean, money
@@ -12,6 +14,21 @@ from bazaarlens.plans.revenue import share_of_all
 
 QUANTILES = 5
 
+# Segments, fixed values: name, then lowest and highest score for recency,
+# frequency and monetary; the first that fits decides.
+ANY = (None, None)
+LAPSED_SPENDERS = "Cant Lose Them"
+OTHER_SEGMENT = "Needs Attention"
+SEGMENTS = [
+    ("Champions", (4, None), (4, None), (4, None)),
+    ("Loyal", (4, None), (3, None), ANY),
+    ("New / Promising", (4, None), (None, 2), ANY),
+    ("Potential Loyalist", (3, 3), (3, None), ANY),
+    ("At Risk", (None, 2), (4, None), ANY),
+    (LAPSED_SPENDERS, (None, 2), (3, None), (4, None)),
+    ("Hibernating / Lost", (None, 2), (None, 2), ANY),
+]
+
 
 def rfm_base(orders: DataFrame) -> DataFrame:
     """Days since the last delivered order, number of orders and revenue in cents per customer."""
@@ -58,20 +75,25 @@ def rfm_scores(orders: DataFrame, **options: int) -> DataFrame:
     )
 
 
-def segment_label(with_cant_lose: bool = True) -> Column:
-    """Marketing segment of a score triple; the first rule that fits decides."""
-    r, f, m = F.col("r"), F.col("f"), F.col("m")
-    recent, lapsed = r >= 4, r <= 2
-    label = (
-        F.when(recent & (f >= 4) & (m >= 4), "Champions")
-        .when(recent & (f >= 3), "Loyal")
-        .when(recent, "New / Promising")
-        .when((r == 3) & (f >= 3), "Potential Loyalist")
-        .when(lapsed & (f >= 4), "At Risk")
-    )
-    if with_cant_lose:
-        label = label.when(lapsed & (f == 3) & (m >= 4), "Cant Lose Them")
-    return label.when(lapsed & (f <= 2), "Hibernating / Lost").otherwise("Needs Attention")
+def _within(axis: str, bounds: tuple[int | None, int | None]) -> Column:
+    low, high = bounds
+    inside = F.lit(True)
+    if low is not None:
+        inside = inside & (F.col(axis) >= low)
+    if high is not None:
+        inside = inside & (F.col(axis) <= high)
+    return inside
+
+
+def segment_label(with_lapsed_spenders: bool = True) -> Column:
+    """Marketing segment of a score triple ``r``, ``f``, ``m``."""
+    label = F.lit(OTHER_SEGMENT)
+    for name, *bounds in reversed(SEGMENTS):
+        if name == LAPSED_SPENDERS and not with_lapsed_spenders:
+            continue
+        fits = reduce(Column.__and__, [_within(axis, b) for axis, b in zip("rfm", bounds)])
+        label = F.when(fits, name).otherwise(label)
+    return label
 
 
 def rfm_segments(orders: DataFrame, **options: int) -> DataFrame:
@@ -117,7 +139,7 @@ def rfm_rollup(orders: DataFrame, **options: int) -> DataFrame:
 def rfm_rollup_headline(orders: DataFrame, **options: int) -> DataFrame:
     """Headline variant: seven segments, without the one for lapsed high spenders."""
     return (
-        _by_segment(orders, segment_label(with_cant_lose=False), options)
+        _by_segment(orders, segment_label(with_lapsed_spenders=False), options)
         .select("segment", "customers", share_of_all("cents").alias("pct_revenue"))
         .orderBy(F.desc_nulls_first("pct_revenue"), "segment")
     )

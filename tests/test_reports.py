@@ -205,7 +205,7 @@ def test_rfm_identities(fixtures):
 )
 def test_segment_labels(spark, score, label, headline_label):
     df = spark.createDataFrame([score], "r int, f int, m int")
-    found = rows(df.select(rfm.segment_label(), rfm.segment_label(with_cant_lose=False)))[0]
+    found = rows(df.select(rfm.segment_label(), rfm.segment_label(with_lapsed_spenders=False)))[0]
     assert found == (label, headline_label or label)
 
 
