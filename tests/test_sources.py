@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import glob
+from decimal import Decimal as D
 
 import pyarrow.parquet as pq
 import pytest
 
 from bazaarlens.operators import star
+from bazaarlens.operators.metrics import Dimension, metric
 from bazaarlens.plans import revenue
 from bazaarlens.schemas import TABLES, as_text
 from bazaarlens.session import shared_dir
@@ -55,6 +57,18 @@ def test_marts_are_split_by_month(spark, tmp_path, market):
     assert january.count() == 2 and "PartitionFilters: [isnotnull(month" in plan(january)
 
 
+def test_slicers_prune_months_of_a_mart(spark, tmp_path, market):
+    star_tables = star.star_schema(market)
+    sinks.write_marts(star_tables, str(tmp_path))
+    facts = spark.read.parquet(f"{tmp_path}/fact_orders")
+    dims = {"year_month": Dimension(spark.read.parquet(f"{tmp_path}/dim_date"), "date_key")}
+    sliced = metric(facts, ["total_revenue"], by=[], dims=dims, slicers={"year_month": ["2024-01"]})
+    assert rows(sliced) == [(D("150.00"),)]
+    scan = next(line for line in plan(sliced).splitlines() if "FileScan" in line and "total_amount" in line)
+    assert "month" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(date_key,2024-01-05)" in scan
+
+
 def test_lookup_layout_skips_files(spark, tmp_path, fixtures):
     path = str(tmp_path / "orders")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
