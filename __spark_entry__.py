@@ -19,6 +19,12 @@ from bazaarlens.sources import sinks, staging  # noqa: E402
 from bazaarlens.sources.fixtures import CATEGORY_TREE, Fixtures, open_fixtures  # noqa: E402
 from oracle.queries import ORACLE  # noqa: E402
 
+try:  # the text operators are an optional part
+    from bazaarlens.llm.oracle import ORACLE as TEXT_ORACLE
+    from bazaarlens.llm.queries import QUERIES as TEXT_QUERIES
+except ImportError:
+    TEXT_ORACLE, TEXT_QUERIES = {}, {}
+
 # Thresholds and ranges that fit the test tables.
 MIN_DELIVERIES = 60
 MIN_ORDERS = 75
@@ -193,9 +199,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of the library as ``(spark, folder) -> DataFrame``."""
-    return {name: _bind(query) for name, query in QUERIES.items()}
+    return {name: _bind(query) for name, query in QUERIES.items()} | TEXT_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
     """The same queries as SQL over the test tables."""
-    return dict(ORACLE)
+    return ORACLE | TEXT_ORACLE
