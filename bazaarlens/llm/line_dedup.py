@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.text import KEY, ascii_lower, lines, row_key, strip, without
+from bazaarlens.session import cut_lineage
 
 MIN_CHARS = 40
 MIN_DOCUMENTS = 5
@@ -42,7 +43,8 @@ def line_dedup(
     """
     rows = row_key(without(docs, "n_lines", "n_dropped"), id_column, text_column)
     found = rows.select(KEY, F.col(id_column).alias("id"), _long_lines(F.col(text_column), min_chars).alias("found"))
-    counted = (
+    # Written, so that the join below deals both sides anew and can split a line of many rows.
+    counted = cut_lineage(
         found.select("id", F.explode(F.array_distinct(F.col("found.digest"))).alias("digest"))
         .groupBy(F.unhex("digest").alias("digest"))
         .agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last"))

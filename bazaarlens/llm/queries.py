@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import labels as labelling
+from bazaarlens.llm import quality_classifier, toxicity
 from bazaarlens.llm.decontamination import decontaminate
 from bazaarlens.llm.line_dedup import line_dedup
+from bazaarlens.llm.near_dedup import near_classes
+from bazaarlens.llm.packing import pack
 from bazaarlens.llm.quality_rules import BASE, TRAINING_ROWS, learn_rules, quality_rules
+from bazaarlens.llm.secrets import find_secrets
+from bazaarlens.llm.substring_dedup import repeated_passages
 from bazaarlens.llm.url_filter import url_filter
 
 #: Rules (host, path, verdict) of the url query.
@@ -51,20 +56,73 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labelled = labelling.training_rows(docs, table(spark, sf_dir, "labels"), "quality", quality_classifier.TRAINING_ROWS)
+    return quality_classifier.score(docs, quality_classifier.train(labelled)).select(
+        "doc_id",
+        labelling.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "copies", "kept")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labelled = labelling.training_rows(docs, table(spark, sf_dir, "labels"), "quality", TRAINING_ROWS)
     return quality_rules(docs, learn_rules(labelled)).select("doc_id", *BASE, "base_failed", "kept", "rejected_by")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter(pages, url_rules(spark)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labelled = labelling.training_rows(docs, table(spark, sf_dir, "labels"), "toxic", toxicity.TRAINING_ROWS)
+    return toxicity.score(docs, toxicity.train(labelled)).select(
+        "doc_id",
+        labelling.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "spans",
+    )
+
+
+def tokenizer_path() -> str:
+    """The public vocabulary that the packing query and stage use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_near_dedup": op5_near_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_secrets": op7_secrets,
     "op8_url_filter": op8_url_filter,
+    "op9_toxicity": op9_toxicity,
+    "op10_packing": op10_packing,
 }

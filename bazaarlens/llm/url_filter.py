@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.text import ascii_lower, without
+from bazaarlens.session import cut_lineage
 
 #: Hexadecimal digits of a digest that the join compares first.
 SHORT = 8
@@ -81,8 +82,11 @@ def url_filter(pages: DataFrame, rules: DataFrame, default: str = "allow", url_c
         .select("host", "path", "digest", F.substring("digest", 1, SHORT).alias("short"))
     )
     fitting = expressions.join(known.withColumnRenamed("digest", "whole"), "short").where(F.col("digest") == F.col("whole"))
-    best = fitting.groupBy("host", "path").agg(
-        F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "rule")).alias("best")
+    # Written, so that the join below deals both sides anew and can split a hot url.
+    best = cut_lineage(
+        fitting.groupBy("host", "path").agg(
+            F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "rule")).alias("best")
+        )
     )
     return judged.join(best, ["host", "path"], "left").select(
         *judged.columns,
