@@ -22,6 +22,9 @@ from oracle.queries import ORACLE  # noqa: E402
 try:  # the text operators are an optional part
     from bazaarlens.llm.oracle import ORACLE as TEXT_ORACLE
     from bazaarlens.llm.queries import QUERIES as TEXT_QUERIES
+    from corpus_pipeline import run as run_pipeline
+
+    TEXT_QUERIES = TEXT_QUERIES | {"pipeline": run_pipeline}
 except ImportError:
     TEXT_ORACLE, TEXT_QUERIES = {}, {}
 
