@@ -20,7 +20,7 @@ END_ID = 0
 #: Parts that the pieces of one length are numbered in.
 SLICES = 1024
 #: Words whose ids a worker remembers; cleared when full.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 _ENCODERS: dict = {}
 
@@ -41,11 +41,11 @@ class _Encoder(dict):
 
     def ids(self, text: bytes | None) -> bytes:
         found = text.split() if text else []
-        new = list(set(found) - self.keys())
+        new = [w for w in set(found) if w not in self]
         if len(self) + len(new) > REMEMBERED:
             self.clear()
             new = list(set(found))
-        encoded = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
+        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
         self.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
         return b"".join(map(self.__getitem__, found))
 
