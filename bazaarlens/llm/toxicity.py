@@ -20,8 +20,10 @@ TRAINING_CHAINS = 30_000
 LEXICON = 20_000
 #: Tokens in a chain of the training set, and the share of chains without evidence in it (one in so many).
 CHAIN, SPARSE = 32, 16
-#: Steps of evidence; a token of a toxic document with this step or more is labelled toxic.
-LEVELS, TOXIC_LEVEL = 8, 3
+#: Steps of evidence, each of half a unit from 1 on; a token of a toxic document with this step or more is labelled toxic.
+LEVELS, TOXIC_LEVEL = 12, 2
+#: Lengths of word beginnings.
+BEGINNINGS = range(3, 9)
 #: Least number of toxic documents with a word or affix.
 LEAST_DOCUMENTS = 4
 STEPS, RATE, PENALTY = 300, 0.1, 1e-3
@@ -31,8 +33,8 @@ _REMEMBERED = 400_000
 
 
 def forms(word: str) -> list[str]:
-    """A word, and its beginnings of four and five letters if it is longer."""
-    return [word] + [f"{word[:k]}-" for k in (4, 5) if len(word) > k]
+    """A word, and its beginnings of three letters and more; languages that build words share those."""
+    return [word] + [f"{word[:k]}-" for k in BEGINNINGS if len(word) > k]
 
 
 def _count_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +76,8 @@ class _Levels(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= _REMEMBERED:
             self.clear()
-        level = min(LEVELS - 1, int(max(self.lexicon.get(form, 0.0) for form in forms(word))))
+        evidence = max(self.lexicon.get(form, 0.0) for form in forms(word))
+        level = min(LEVELS - 1, max(0, int(2 * evidence) - 1))
         if len(word) <= 64:
             self[word] = level
         return level
@@ -87,8 +90,8 @@ class Model:
     lexicon: dict[str, float] = field(default_factory=dict)
     emission: np.ndarray = field(default_factory=lambda: np.zeros(LEVELS))
     turn: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
-    #: Of the bias, of the chance that any token is toxic, of the logarithm of 1 + expected toxic tokens.
-    document: np.ndarray = field(default_factory=lambda: np.array([-2.0, 0.0, 0.0]))
+    #: Of the bias and of each of ``document_features``.
+    document: np.ndarray = field(default_factory=lambda: np.array([-2.0, 0.0, 0.0, 0.0]))
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
@@ -129,18 +132,24 @@ def chain_marginals(levels: np.ndarray, at: np.ndarray, n: int, model: Model) ->
     return both[:, 1] / both.sum(axis=1)
 
 
-def tag(text: str | None, known: _Levels, model: Model) -> tuple[float, float, list[tuple[int, int, float]]]:
-    """Chance that any token is toxic, expected toxic tokens, and (start, end, chance) of tokens with evidence."""
+def document_features(chances: np.ndarray, n: int) -> tuple[float, float, float]:
+    """Chance that any token is toxic, and logarithms of the expected toxic tokens, in all and in a hundred."""
+    expected = float(chances.sum())
+    return float(1 - np.prod(1 - chances)), float(np.log1p(expected)), float(np.log1p(100 * expected / max(1, n)))
+
+
+def tag(text: str | None, known: _Levels, model: Model) -> tuple[tuple[float, ...], list[tuple[int, int, float]]]:
+    """Features of the document, and (start, end, chance) of tokens with evidence."""
     low = (text or "").lower()
     found = _WORD.findall(low)
     levels = np.fromiter(map(known.__getitem__, found), np.int8, len(found))
     at = np.flatnonzero(levels)
     if not len(at):
-        return 0.0, 0.0, []
+        return (0.0, 0.0, 0.0), []
     chances = chain_marginals(levels[at], at, len(levels), model)
     wanted = set(at.tolist())
     spans = [m.span() for k, m in enumerate(_WORD.finditer(low)) if k in wanted]
-    return float(1 - np.prod(1 - chances)), float(chances.sum()), [(s, e, float(c)) for (s, e), c in zip(spans, chances)]
+    return document_features(chances, len(levels)), [(s, e, float(c)) for (s, e), c in zip(spans, chances)]
 
 
 def _chains(lexicon: dict[str, float]):
@@ -222,10 +231,9 @@ def _document_features(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Levels(model.lexicon)
         for batch in in_pieces(batches):
-            found = [tag(text, known, model)[:2] for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), *(pa.array([f[k] for f in found], pa.float64()) for k in (0, 1))], names=["label", "any", "expected"]
-            )
+            found = [tag(text, known, model)[0] for text in batch.column("text").to_pylist()]
+            columns = [pa.array(list(c), pa.float64()) for c in zip(*found)]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), *columns], names=["label", "f0", "f1", "f2"])
 
     return run
 
@@ -253,8 +261,8 @@ def train(labelled: DataFrame, label_column: str = "toxic", id_column: str = "do
             levels[k, : len(own)], labels[k, : len(own)] = np.frombuffer(own, np.uint8), np.frombuffer(marks, np.uint8)
             inside[k, : len(own)] = True
         model.emission, model.turn = fit_chains(levels, labels, inside, found["weight"].to_numpy())
-    scored = rows.mapInArrow(_document_features(model), "label int, any double, expected double").toArrow()
-    x = np.column_stack([scored["any"].to_numpy(), np.log1p(scored["expected"].to_numpy())])
+    scored = rows.mapInArrow(_document_features(model), "label int, f0 double, f1 double, f2 double").toArrow()
+    x = np.column_stack([scored[f"f{k}"].to_numpy() for k in range(3)])
     model.document = _fit_logistic(x, scored["label"].to_numpy().astype(float))
     return model
 
@@ -264,8 +272,8 @@ def _tagged(model: Model, least: float):
         known = _Levels(model.lexicon)
         for batch in in_pieces(batches):
             found = [tag(text, known, model) for text in batch.column("text").to_pylist()]
-            x = np.array([[1.0, f[0], np.log1p(f[1])] for f in found]).reshape(-1, 3)
-            spans = [[{"start": s, "end": e, "chance": c} for s, e, c in f[2] if c >= least] for f in found]
+            x = np.array([[1.0, *features] for features, _ in found])
+            spans = [[{"start": s, "end": e, "chance": c} for s, e, c in own if c >= least] for _, own in found]
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("chance", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(_logistic(x @ model.document)), pa.array(spans, kind)], names=["id", "score", "spans"]
