@@ -23,7 +23,10 @@ KINDS = ["assign", "access", "hex", "novel"]
 #: Candidates of the compression test: runs of these characters with letters and digits.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{12,}"
 #: Words that make a place sensitive, looked for shortly before a candidate.
-SENSITIVE = r"secret|token|passw|pwd|credential|auth|bearer|private|signature|session|cookie|api.?key|access.?key|key\s*[:=]"
+SENSITIVE = (
+    r"secret|token|passw|\bpwd|credential|authoriz|\bauth\b|bearer|private|signature|session|cookie|api.?key|access.?key"
+    r"|\bkey\s*[:=]"
+)
 BEFORE = 48
 #: Characters on either side that the compressor is primed with.
 AROUND = 256
