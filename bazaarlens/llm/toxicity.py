@@ -16,7 +16,7 @@ from bazaarlens.session import cut_lineage
 
 #: At most so many labelled rows, chains and lexicon entries are learned from and with.
 TRAINING_ROWS = 16_000
-TRAINING_CHAINS = 30_000
+TRAINING_CHAINS = 4_000
 LEXICON = 20_000
 #: Tokens in a chain of the training set, and the share of chains without evidence in it (one in so many).
 CHAIN, SPARSE = 32, 16
@@ -26,7 +26,7 @@ LEVELS, TOXIC_LEVEL = 12, 2
 BEGINNINGS = range(3, 9)
 #: Least number of toxic documents with a word or affix.
 LEAST_DOCUMENTS = 4
-STEPS, RATE, PENALTY = 300, 0.1, 1e-3
+STEPS, RATE, PENALTY = 80, 0.2, 1e-3
 
 _WORD = re.compile(r"[^\W\d_]+")
 _REMEMBERED = 400_000
@@ -252,8 +252,7 @@ def train(labelled: DataFrame, label_column: str = "toxic", id_column: str = "do
         return Model()
     model = Model(learn_lexicon(rows, sums[0], sums[1]))
     chains = cut_lineage(rows.mapInArrow(_chains(model.lexicon), "levels binary, labels binary, weight double"))
-    picked = chains.orderBy(F.xxhash64("levels", "labels", "weight")).limit(TRAINING_CHAINS) if chains.count() > TRAINING_CHAINS else chains
-    found = picked.toArrow()
+    found = chains.orderBy(F.xxhash64("levels", "labels", "weight")).limit(TRAINING_CHAINS).toArrow()
     if found.num_rows:
         shape = (found.num_rows, CHAIN)
         levels, labels, inside = np.zeros(shape, np.uint8), np.zeros(shape, np.uint8), np.zeros(shape, bool)
