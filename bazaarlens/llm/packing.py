@@ -20,7 +20,7 @@ END_ID = 0
 #: Parts that the pieces of one length are numbered in.
 SLICES = 1024
 #: Words whose ids a worker remembers; cleared when full.
-REMEMBERED = 500_000
+REMEMBERED = 1_200_000
 
 _ENCODERS: dict = {}
 
@@ -29,7 +29,8 @@ class _Encoder(dict):
     """Ids of words between ASCII white space, as little-endian unsigned 32-bit numbers.
 
     The tokenizer drops white space and never joins what it separates, so a text's ids are
-    those of its words in a row, and each distinct word needs to be encoded once.
+    those of its words in a row, and each distinct word needs to be encoded once. It
+    lower-cases all but its special tokens, so A-Z may be lowered before.
     """
 
     def __init__(self, path: str) -> None:
@@ -40,7 +41,7 @@ class _Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
 
     def ids(self, text: bytes | None) -> bytes:
-        found = text.split() if text else []
+        found = (text if b"<|" in text else text.lower()).split() if text else []
         new = [w for w in set(found) if w not in self]
         if len(self) + len(new) > REMEMBERED:
             self.clear()
