@@ -5,14 +5,16 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from bazaarlens import schemas  # noqa: E402
 from bazaarlens.functions.numeric import plain_types  # noqa: E402
 from bazaarlens.operators import cleaning, hierarchy, quality, series, star  # noqa: E402
+from bazaarlens.operators.metrics import Dimension  # noqa: E402
 from bazaarlens.plans import customers, dashboards, headline, operations, revenue, rfm  # noqa: E402
 from bazaarlens.session import scratch_path  # noqa: E402
 from bazaarlens.sources import sinks, staging  # noqa: E402
@@ -33,8 +35,9 @@ MIN_DELIVERIES = 60
 MIN_ORDERS = 75
 MIN_REVIEWS = 35
 SPINE = ("1994-10-01", "2001-12-01")
-OFFSETS = list(range(80))
+OFFSETS = list(range(80))  # so that the columns are the same for every table; others raise
 YEARS = [1997, 1998]
+DAYS = ("1998-03-15", "1998-05-10")
 CITIES = ["NATION_9", "NATION_11", "NATION_6"]
 RESTAURANT = 42
 # Rows a single task may order in the queries that exercise the sliced ranking.
@@ -64,6 +67,29 @@ def _parsed_dates(f: Fixtures) -> DataFrame:
     return text.join(dated, "review_id")
 
 
+def _staged_all(f: Fixtures) -> DataFrame:
+    """Every raw table through CSV and back, a record per row."""
+    frames = []
+    for name, raw in f.raw.items():
+        path = scratch_path(f.spark, f"{name}.csv")
+        staging.write_text(raw, path)
+        text = staging.read_text(f.spark, path, raw.schema)
+        record = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in text.columns])
+        frames.append(text.select(F.lit(name).alias("table_name"), record.alias("record")))
+    return reduce(DataFrame.union, frames)
+
+
+def _summary(f: Fixtures) -> DataFrame:
+    clean = cleaning.clean_all(f.raw)
+    return quality.dq_summary(f.raw_customers, clean.customers, clean.restaurants, clean.orders, clean.reviews)
+
+
+def _lookup_layout(f: Fixtures) -> DataFrame:
+    path = scratch_path(f.spark, "lookup")
+    sinks.write_lookup_layout(f.orders, path)
+    return sinks.lookup(f.spark.read.parquet(path), "restaurant_id", RESTAURANT)
+
+
 def _audited(f: Fixtures) -> DataFrame:
     tables = dict(f.market.items())
     tables["orders"] = cleaning.typed_orders(f.raw_orders)
@@ -135,6 +161,7 @@ QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {
     "cancel_refund_by_city": lambda f: operations.cancel_refund_by_city(f.orders, f.restaurants),
     "vehicle_performance": lambda f: operations.vehicle_performance(f.orders, f.riders),
     "peak_hours": lambda f: operations.peak_hours(f.orders),
+    "selective_lookup_layout": _lookup_layout,
     "selective_lookup": lambda f: sinks.lookup(f.orders, "restaurant_id", RESTAURANT),
     # headline figures
     "kpi_topline": lambda f: headline.kpi_topline(f.customers, f.restaurants, f.orders),
@@ -147,6 +174,7 @@ QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {
     "yearly_revenue_yoy": lambda f: revenue.yearly_revenue_yoy(f.orders),
     # staging, cleaning, quality
     "stage_text": _staged,
+    "stage_text_all": _staged_all,
     "parse_dates": _parsed_dates,
     "dedup_customers": lambda f: cleaning.dedup_customers(f.raw_customers),
     "clean_customers": lambda f: cleaning.clean_customers(f.raw_customers),
@@ -157,10 +185,8 @@ QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {
     "clean_order_items": lambda f: cleaning.clean_order_items(f.raw_order_items, _clean_orders(f)),
     "clean_reviews": lambda f: cleaning.clean_reviews(f.raw_reviews, _clean_orders(f)),
     "constraint_audit": _audited,
-    "row_counts": lambda f: quality.row_counts(dict(f.market.items())),
-    "dq_summary": lambda f: quality.dq_summary(
-        f.raw_customers, cleaning.clean_customers(f.raw_customers), f.restaurants, f.orders, f.reviews
-    ),
+    "row_counts": lambda f: quality.row_counts(dict(cleaning.clean_all(f.raw).items())),
+    "dq_summary": _summary,
     # star schema
     "dim_date": lambda f: star.dim_date(f.orders),
     "dim_customers": lambda f: star.dim_customers(f.customers),
@@ -175,6 +201,21 @@ QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {
     "metrics_by_month": lambda f: dashboards.metrics_by_month(_fact_orders(f), star.dim_date(f.orders)),
     "metrics_mtd_ytd": lambda f: dashboards.metrics_mtd_ytd(_facts(f), star.dim_date(f.orders)),
     "metrics_mom_yoy": lambda f: dashboards.metrics_mom_yoy(_facts(f), star.dim_date(f.orders)),
+    "metrics_mtd_ytd_sliced": lambda f: dashboards.metrics_mtd_ytd(
+        _facts(f), star.dim_date(f.orders), F.col("date_key").between(*DAYS)
+    ),
+    "metrics_mom_yoy_sliced": lambda f: dashboards.metrics_mom_yoy(
+        _facts(f),
+        star.dim_date(f.orders),
+        F.year("month") == YEARS[-1],
+        {"city": Dimension(_dim_restaurants(f), "restaurant_id")},
+        {"city": CITIES[:2]},
+    ),
+    "metrics_new_returning_by_city": lambda f: dashboards.metrics_new_returning_by(
+        _facts(f), star.dim_date(f.orders), _dim_restaurants(f), YEARS
+    ),
+    "metrics_reviews_by_cuisine": lambda f: dashboards.metrics_reviews_by_cuisine(_fact_reviews(f), _dim_restaurants(f)),
+    "kpi_avg_rating": lambda f: dashboards.kpi_avg_rating(_fact_reviews(f)),
     "metrics_new_returning": lambda f: dashboards.metrics_new_returning(f.orders),
     "metrics_segment": lambda f: dashboards.metrics_segment(_facts(f), star.dim_customers(f.customers)),
     "metrics_reviews": lambda f: dashboards.metrics_reviews(_fact_reviews(f)),

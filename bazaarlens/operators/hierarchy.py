@@ -2,33 +2,31 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from bazaarlens.session import cut_lineage
 
 
-def walk_tree(edges: DataFrame, max_depth: int = 1000) -> DataFrame:
+def walk_tree(edges: DataFrame) -> DataFrame:
     """Every node reachable from a root, as ``(node, parent, level, root)``.
 
-    ``edges`` has ``node`` and ``parent``; a root has no parent. Each round joins
-    one level. Nodes on a cycle that no root leads to are never reached; a cycle
-    below a root raises.
+    ``edges`` has ``node`` and ``parent``; a root has no parent. Each round doubles how far up
+    every node looks, so a tree of any depth takes the logarithm of its depth in
+    rounds. A node with two parents is no tree (below a root, that is the only way into a cycle)
+    and raises. Nodes that no root leads to, such as those of a cycle of its own, are never reached.
     """
-    level = edges.filter(F.col("parent").isNull()).select(
-        "node", "parent", F.lit(0).alias("level"), F.col("node").alias("root")
-    )
-    children = edges.filter(F.col("parent").isNotNull())
-    level = cut_lineage(level)
-    levels = [level]
-    while True:
-        above = level.select(F.col("node").alias("parent"), "level", "root")
-        level = cut_lineage(
-            children.join(above, "parent").select("node", "parent", (F.col("level") + 1).alias("level"), "root")
+    edges = cut_lineage(edges.select("node", "parent").distinct())
+    twice = edges.groupBy("node").count().filter("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"not a tree: node {twice[0]!r} has {twice[1]} parents, or lies on a cycle")
+    top = F.coalesce("parent", "node").alias("top")
+    done = edges.select("node", "parent", top, F.col("parent").isNotNull().cast("int").alias("level"), F.col("parent").isNull().alias("done"))
+    done, reached = cut_lineage(done), -1
+    while (found := done.filter("done").count()) != reached:
+        reached = found
+        above = done.select(F.col("node").alias("top"), F.col("top").alias("next"), F.col("level").alias("steps"), F.col("done").alias("ends"))
+        further = done.filter("not done").join(above, "top").select(
+            "node", "parent", F.col("next").alias("top"), (F.col("level") + F.col("steps")).alias("level"), F.col("ends").alias("done")
         )
-        if level.isEmpty():
-            return reduce(DataFrame.unionByName, levels)
-        levels.append(level)
-        if len(levels) > max_depth:
-            raise ValueError(f"hierarchy deeper than {max_depth} levels, or cyclic")
+        done = cut_lineage(done.filter("done").union(further))
+    return done.filter("done").select("node", "parent", "level", F.col("top").alias("root"))

@@ -96,6 +96,15 @@ def _slice(fact: DataFrame, attribute: str, values: Sequence, dim: Dimension | N
     return kept.join(broadcast_if_small(keys), key, "left_semi")
 
 
+def _lookups(by: Sequence[str], dims: Mapping[str, Dimension]) -> list[tuple[str, DataFrame, list[str]]]:
+    """One join for each dimension table used in ``by``, with its key and attributes."""
+    found: dict[tuple[str, int], tuple[str, DataFrame, list[str]]] = {}
+    for attribute, dim in dims.items():
+        if attribute in by:
+            found.setdefault((dim.key, id(dim.table)), (dim.key, dim.table, []))[2].append(attribute)
+    return list(found.values())
+
+
 def metric(
     fact: DataFrame,
     measures: Sequence[str],
@@ -117,17 +126,14 @@ def metric(
     distinct = ACTIVE_CUSTOMERS in needed
     if distinct and "delivered_orders" not in additive:
         additive.append("delivered_orders")
-    joined: dict[str, tuple[DataFrame, list[str]]] = {}
-    for attribute, dim in dims.items():
-        if attribute in by:
-            joined.setdefault(dim.key, (dim.table, []))[1].append(attribute)
+    joined = _lookups(by, dims)
 
     summed = fact
     if not distinct:
         keys = [c for c in by if c not in dims]
-        keys += [k for k in joined if k not in keys]
+        keys += [k for k in dict.fromkeys(key for key, _, _ in joined) if k not in keys]
         summed = fact.groupBy(*keys).agg(*[ADDITIVE[n]().alias(n) for n in additive])
-    for key, (table, attributes) in joined.items():
+    for key, table, attributes in joined:
         summed = summed.join(table.select(key, *attributes), key, "left")
     if not distinct:
         result = summed.groupBy(*by).agg(*sums(additive))
@@ -140,13 +146,81 @@ def metric(
     return result.select(*by, *[_value(m).alias(m) for m in measures])
 
 
-def review_metrics(fact_reviews: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Average rating and number of ratings; missing ratings are left out."""
-    counted = fact_reviews.groupBy(*by).agg(F.sum("rating").alias("stars"), F.count("rating").alias("review_count"))
+def review_metrics(
+    fact_reviews: DataFrame,
+    by: Sequence[str] = (),
+    dims: Mapping[str, Dimension] | None = None,
+    slicers: Mapping[str, Sequence] | None = None,
+) -> DataFrame:
+    """Average rating and number of ratings; missing ratings are left out.
+
+    ``dims`` and ``slicers`` work as in ``metric``: reviews share date, customer and restaurant keys
+    with their dimensions. A review of a day outside the calendar falls to a blank member.
+    """
+    dims = dims or {}
+    for attribute, values in (slicers or {}).items():
+        fact_reviews = _slice(fact_reviews, attribute, values, dims.get(attribute))
+    joined = _lookups(by, dims)
+    keys = [c for c in by if c not in dims]
+    keys += [k for k in dict.fromkeys(key for key, _, _ in joined) if k not in keys]
+    rated = fact_reviews.groupBy(*keys).agg(F.sum("rating").alias("stars"), F.count("rating").alias("review_count"))
+    for key, table, attributes in joined:
+        rated = rated.join(table.select(key, *attributes), key, "left")
+    counted = rated.groupBy(*by).agg(F.sum("stars").alias("stars"), F.coalesce(F.sum("review_count"), F.lit(0)).alias("review_count"))
     average = F.try_divide(F.col("stars").cast(TOTAL), F.col("review_count").cast("decimal(20,0)"))
     return counted.select(*by, average.alias("avg_rating"), "review_count")
 
 
+def customer_metrics(
+    fact: DataFrame,
+    by: Sequence[str] = (),
+    dims: Mapping[str, Dimension] | None = None,
+    slicers: Mapping[str, Sequence] | None = None,
+) -> DataFrame:
+    """Active, new and returning customers and the repeat rate, for any grouping and filter.
+
+    A customer is new in a group if the first delivered order of all, whatever the grouping and
+    filters, is not before the group's period. The period begins with the first day of the calendar that
+    the group and the date filters leave; where no date attribute takes part it is all time, and
+    all customers are new. First days are a minimum per customer; each group sees a customer once.
+    """
+    dims = dims or {}
+    first = fact.filter(F.col(_DONE)).groupBy("customer_id").agg(F.min("date_key").alias("_first_day"))
+    calendar = [a for a, d in dims.items() if d.key == "date_key" and (a in by or a in (slicers or {}))]
+    if len({id(dims[a].table) for a in calendar}) > 1:
+        raise ValueError(f"{', '.join(calendar)} come from different calendars")
+    dated = [a for a in by if a in calendar]
+    kept = fact.filter(F.col(_DONE))
+    for attribute, values in (slicers or {}).items():
+        kept = _slice(kept, attribute, values, dims.get(attribute))
+    active = kept.groupBy("customer_id", *[c for c in by if c not in dims], *dict.fromkeys(k for k, _, _ in _lookups(by, dims))).agg(
+        F.min("date_key").alias("_day")
+    )
+    for key, table, attributes in _lookups(by, dims):
+        active = active.join(table.select(key, *attributes), key, "left")
+    customers = active.groupBy("customer_id", *by).agg(F.min("_day").alias("_day")).join(first, "customer_id")
+    if calendar:
+        days = dims[calendar[0]].table
+        for attribute, values in (slicers or {}).items():
+            if attribute in calendar:
+                days = days.filter(F.col(attribute).isin(list(values)))
+        starts = days.groupBy(*dated).agg(F.min("date_key").alias("_start"))
+    else:
+        starts = first.agg(F.min("_first_day").alias("_start"))
+    placed = customers.join(starts, dated, "left") if dated else customers.withColumn("_start", starts.scalar())
+    counts = placed.groupBy(*by).agg(
+        F.count("*").alias(ACTIVE_CUSTOMERS), count_where(F.col("_first_day") >= F.col("_start")).alias("new_customers")
+    )
+    back = F.col(ACTIVE_CUSTOMERS) - F.col("new_customers")
+    return counts.select(
+        *by,
+        ACTIVE_CUSTOMERS,
+        "new_customers",
+        back.alias("returning_customers"),
+        F.try_divide(back.cast(TOTAL), F.col(ACTIVE_CUSTOMERS).cast("decimal(20,0)")).alias("repeat_rate"),
+    )
+
+
 def revenue_label(value: Column) -> Column:
     """Revenue in crore or lakh with two decimals, or in full below one lakh."""
     crore, lakh = F.lit(10_000_000), F.lit(100_000)  # fixed values

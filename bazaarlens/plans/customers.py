@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from bazaarlens.functions.dates import month_of, months_apart
 from bazaarlens.functions.numeric import cents, money, percent
 from bazaarlens.operators.aggregates import count_where, delivered, per_key
+from bazaarlens.session import cut_lineage
 
 CHURN_DAYS = 90
 
@@ -88,9 +89,17 @@ def cohort_retention_matrix(orders: DataFrame) -> DataFrame:
     )
 
 
-def cohort_matrix_pivot(orders: DataFrame, offsets: list[int]) -> DataFrame:
-    """The retention matrix with one column per month offset."""
-    matrix = cohort_retention_matrix(orders)
+def cohort_matrix_pivot(orders: DataFrame, offsets: list[int] | None = None) -> DataFrame:
+    """The retention matrix with one column per month offset, from 0 to the last one in the data.
+
+    ``offsets`` states the columns instead; offsets of the data outside of them are an error.
+    """
+    matrix = cut_lineage(cohort_retention_matrix(orders))
+    last = matrix.agg(F.max("month_offset")).first()[0]
+    if offsets is None:
+        offsets = list(range((last or 0) + 1))
+    elif not matrix.filter(~F.col("month_offset").isin(offsets)).isEmpty():
+        raise ValueError(f"the data have month offsets outside of {offsets[0]} to {offsets[-1]}")
     wide = matrix.groupBy("cohort_month", "cohort_size").pivot("month_offset", offsets).agg(F.first("retention_pct"))
     return wide.select(
         "cohort_month", "cohort_size", *[F.col(f"`{n}`").alias(f"month_{n}") for n in offsets]
@@ -109,15 +118,15 @@ def retention_curve(orders: DataFrame) -> DataFrame:
     ).orderBy("month_offset")
 
 
-def latest_day(orders: DataFrame) -> Column:
-    """Date of the latest delivered order, as a scalar subquery."""
-    return delivered(orders).agg(F.max("order_timestamp").cast("date").alias("as_of")).scalar()
-
-
 def _last_orders(orders: DataFrame) -> DataFrame:
+    """Date of each customer's last delivered order, and the days from there to the last one of all.
+
+    The latest date is taken from the rows per customer, whose exchange both uses share: orders are read once.
+    """
     last = per_key(delivered(orders), "customer_id", {"last": F.max("order_timestamp")})
+    latest = last.agg(F.max("last").cast("date").alias("as_of")).scalar()
     return last.select("customer_id", F.col("last").cast("date").alias("last_order_date")).withColumn(
-        "days_since_last_order", F.datediff(latest_day(orders), "last_order_date")
+        "days_since_last_order", F.datediff(latest, "last_order_date")
     )
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bazaarlens.functions.dates import month_of
 from bazaarlens.functions.numeric import TOTAL, cents, money
 from bazaarlens.operators.aggregates import count_where, per_key
-from bazaarlens.operators.metrics import Dimension, metric, revenue_label, review_metrics
+from bazaarlens.operators.metrics import Dimension, customer_metrics, metric, revenue_label, review_metrics
 from bazaarlens.plans.customers import customer_months
 
 OVERVIEW = (
@@ -41,39 +41,70 @@ def metrics_by_month(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     return metric(fact_orders, OVERVIEW, by=["year_month"], dims=dims).orderBy("year_month")
 
 
-def daily_revenue(order_facts: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Delivered revenue on every day of the calendar; NULL on days without any."""
-    revenue = metric(order_facts, ["total_revenue"], by=["date_key"])
+def daily_revenue(
+    order_facts: DataFrame,
+    dim_date: DataFrame,
+    dims: Mapping[str, Dimension] | None = None,
+    slicers: Mapping[str, Sequence] | None = None,
+) -> DataFrame:
+    """Delivered revenue on every day of the calendar; NULL on days without any.
+
+    ``slicers`` keep facts by attributes other than the date; see ``metric``.
+    """
+    revenue = metric(order_facts, ["total_revenue"], by=["date_key"], dims=dims, slicers=slicers)
     return dim_date.select("date_key", "year", "year_month").join(revenue, "date_key", "left")
 
 
-def metrics_mtd_ytd(order_facts: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Revenue to date within the month, within the year, and within the selected days."""
+def metrics_mtd_ytd(
+    order_facts: DataFrame,
+    dim_date: DataFrame,
+    selection: Column | None = None,
+    dims: Mapping[str, Dimension] | None = None,
+    slicers: Mapping[str, Sequence] | None = None,
+) -> DataFrame:
+    """Revenue to date within the month, within the year, and within the selected days.
+
+    ``dim_date`` is the whole calendar. ``selection`` picks its days last (by ``date_key``,
+    ``year`` or ``year_month``): month and year to date reach back before it, only the running
+    sum begins with it.
+    """
     month = Window.partitionBy("year_month").orderBy("date_key")
     year = Window.partitionBy("year").orderBy("date_key")
-    selection = Window.orderBy("date_key")  # one row per day of the calendar
+    selected = Window.orderBy("date_key")  # one row per day of the calendar
     revenue = F.sum("total_revenue")
-    return (
-        daily_revenue(order_facts, dim_date)
-        .select(
-            "date_key",
-            "total_revenue",
-            revenue.over(month).cast(TOTAL).alias("revenue_mtd"),
-            revenue.over(year).cast(TOTAL).alias("revenue_ytd"),
-            revenue.over(selection).cast(TOTAL).alias("running_revenue"),
-        )
-        .orderBy("date_key")
+    to_date = daily_revenue(order_facts, dim_date, dims, slicers).select(
+        "date_key",
+        "year",
+        "year_month",
+        "total_revenue",
+        revenue.over(month).cast(TOTAL).alias("revenue_mtd"),
+        revenue.over(year).cast(TOTAL).alias("revenue_ytd"),
     )
+    shown = to_date if selection is None else to_date.filter(selection)
+    return shown.select(
+        "date_key",
+        "total_revenue",
+        "revenue_mtd",
+        "revenue_ytd",
+        revenue.over(selected).cast(TOTAL).alias("running_revenue"),
+    ).orderBy("date_key")
 
 
-def metrics_mom_yoy(order_facts: DataFrame, dim_date: DataFrame) -> DataFrame:
+def metrics_mom_yoy(
+    order_facts: DataFrame,
+    dim_date: DataFrame,
+    selection: Column | None = None,
+    dims: Mapping[str, Dimension] | None = None,
+    slicers: Mapping[str, Sequence] | None = None,
+) -> DataFrame:
     """Revenue of each calendar month against the month and the year before.
 
     The comparison is by calendar, not by the previous row: a month without
-    revenue still counts as the previous month.
+    revenue still counts as the previous month. ``dim_date`` is the whole calendar;
+    ``selection`` picks months last (by ``month``), so the months before it are still seen.
     """
     months = (
-        daily_revenue(order_facts, dim_date)
+        daily_revenue(order_facts, dim_date, dims, slicers)
         .groupBy(F.trunc("date_key", "MM").alias("month"))
         .agg(F.sum("total_revenue").cast(TOTAL).alias("total_revenue"))
     )
@@ -85,8 +116,9 @@ def metrics_mom_yoy(order_facts: DataFrame, dim_date: DataFrame) -> DataFrame:
         zero = F.lit(0).cast(TOTAL)
         return F.try_divide(F.coalesce("total_revenue", zero) - F.col(name), F.col(name))
 
+    shown = months if selection is None else months.filter(selection)
     return (
-        months.join(shifted(1, "revenue_pm"), "month", "left")
+        shown.join(shifted(1, "revenue_pm"), "month", "left")
         .join(shifted(12, "revenue_py"), "month", "left")
         .select(
             "month",
@@ -116,6 +148,26 @@ def metrics_new_returning(orders: DataFrame) -> DataFrame:
     ).orderBy("month")
 
 
+def metrics_new_returning_by(
+    order_facts: DataFrame, dim_date: DataFrame, dim_restaurants: DataFrame, years: Sequence[int] | None = None
+) -> DataFrame:
+    """Customers per city: active, new in the chosen years, and returning."""
+    dims = {"city": Dimension(dim_restaurants, "restaurant_id"), "year": Dimension(dim_date, "date_key")}
+    slicers = None if years is None else {"year": years}
+    return customer_metrics(order_facts, ["city"], dims, slicers).orderBy("city")
+
+
+def metrics_reviews_by_cuisine(fact_reviews: DataFrame, dim_restaurants: DataFrame) -> DataFrame:
+    """Average rating and number of ratings by cuisine."""
+    dims = {"cuisine_type": Dimension(dim_restaurants, "restaurant_id")}
+    return review_metrics(fact_reviews, ["cuisine_type"], dims).orderBy("cuisine_type")
+
+
+def kpi_avg_rating(fact_reviews: DataFrame) -> DataFrame:
+    """Average rating and number of ratings over all reviews."""
+    return review_metrics(fact_reviews)
+
+
 def metrics_segment(
     order_facts: DataFrame, dim_customers: DataFrame, segments: Sequence[str] | None = None
 ) -> DataFrame:
@@ -135,7 +187,11 @@ def metrics_segment(
 
 
 def metrics_reviews(fact_reviews: DataFrame) -> DataFrame:
-    """Average rating and number of ratings by month of the review."""
+    """Average rating and number of ratings by month of the review.
+
+    The month is that of the review's own day, also where it lies outside the order calendar; with a
+    calendar as dimension (``review_metrics``) such reviews fall to a blank member.
+    """
     by_month = fact_reviews.withColumn("month", month_of("date_key"))
     return review_metrics(by_month, ["month"]).orderBy("month")
 

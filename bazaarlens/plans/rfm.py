@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.numeric import average_money, cents, mean, money
 from bazaarlens.operators.aggregates import delivered, per_key
-from bazaarlens.operators.ranking import TASK_ROWS, global_ntile, measured
-from bazaarlens.plans.customers import latest_day
+from bazaarlens.operators.ranking import TASK_ROWS, global_ntile
 from bazaarlens.plans.revenue import share_of_all
+from bazaarlens.session import cut_lineage
 
 QUANTILES = 5
 
@@ -31,7 +31,7 @@ SEGMENTS = [
 
 
 def rfm_base(orders: DataFrame) -> DataFrame:
-    """Days since the last delivered order, number of orders and revenue in cents per customer."""
+    """Date of the last delivered order, number of orders and revenue in cents per customer."""
     keyed = per_key(
         delivered(orders),
         "customer_id",
@@ -39,15 +39,21 @@ def rfm_base(orders: DataFrame) -> DataFrame:
     )
     return keyed.select(
         "customer_id",
-        F.datediff(latest_day(orders), F.col("last").cast("date")).alias("recency_days"),
+        F.col("last").cast("date").alias("last_day"),
         "frequency",
         "cents",
     )
 
 
 def rfm_scored(orders: DataFrame, buckets: int = QUANTILES, task_rows: int = TASK_ROWS) -> DataFrame:
-    """Quantile scores ``r``, ``f``, ``m``; the highest bucket is the best on each axis."""
-    scored, rows = measured(rfm_base(orders))
+    """Quantile scores ``r``, ``f``, ``m``; the highest bucket is the best on each axis.
+
+    Orders are read once: number of customers and latest date come from the written rows per customer.
+    """
+    base = cut_lineage(rfm_base(orders))
+    rows, latest = base.agg(F.count("*"), F.max("last_day")).first()
+    recency = F.datediff(F.lit(latest).cast("date"), "last_day").alias("recency_days")
+    scored = base.select("customer_id", recency, "frequency", "cents")
     for axis, name in (
         (F.desc_nulls_first("recency_days"), "r"),
         (F.asc("frequency"), "f"),

@@ -34,3 +34,10 @@ def create_views(market: Marketplace, prefix: str = "") -> None:
     """Register every table as a temporary view for ``spark.sql``."""
     for name, df in market.items():
         df.createOrReplaceTempView(f"{prefix}{name}")
+
+
+def create_star_views(star: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Name the dimensions and facts of a star schema, for use in SQL; returns the names."""
+    for name, df in star.items():
+        df.createOrReplaceTempView(f"{prefix}{name}")
+    return [f"{prefix}{name}" for name in star]

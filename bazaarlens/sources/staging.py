@@ -8,13 +8,29 @@ from pyspark.sql import types as T
 from bazaarlens.schemas import TABLES, as_text
 
 
-def read_text(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
-    """Header CSV with an all-string schema: no value can fail the load.
-
-    ``multiline`` accepts line breaks inside quotes, at the price of one task per file.
+def read_text(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True, rejects: str | None = None
+) -> DataFrame:
+    """Header CSV with an all-string schema: no value can fail the load, and none is lost.
+
+    Line breaks inside quotes belong to the value; that takes one task per file, so large extracts
+    should come as many files, or with ``multiline=False`` where no value has a line break. A header
+    that differs from the schema in names or order fails. A row with more or fewer values than
+    columns fails with the row named; with ``rejects``, a column of that name is added,
+    which holds such rows as they stand and is null for all others. All columns are parsed
+    in any case, or a short selection would pass a row of wrong width.
     """
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-    return reader.option("multiLine", multiline).csv(path)
+    reader = (
+        spark.read.option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multiline)
+        .option("enforceSchema", False)
+        .option("columnPruning", False)
+    )
+    if rejects is None:
+        return reader.schema(schema).option("mode", "FAILFAST").csv(path)
+    wide = T.StructType([*schema.fields, T.StructField(rejects, T.StringType())])
+    return reader.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", rejects).csv(path)
 
 
 def stage(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -140,6 +140,9 @@ TABLES: dict[str, str] = {
         FROM m_orders o LEFT JOIN (
             SELECT order_id AS line_order, count(*) AS item_count, sum(quantity) AS total_quantity
             FROM m_items GROUP BY order_id) ON line_order = order_id""",
+    "m_city_months": """
+        SELECT month, sum(cents) AS cents FROM m_done JOIN m_restaurants USING (restaurant_id)
+        WHERE city IN ('NATION_9', 'NATION_11') GROUP BY month""",
     "m_month_calendar": """
         SELECT cal.month, cents FROM (
             SELECT DISTINCT CAST(date_trunc('month', date_key) AS DATE) AS month FROM m_dates) cal

@@ -7,10 +7,14 @@ from oracle.fixture import big, money, pct, ratio, with_tables
 _ORDERS_BY = "count(*) AS n, sum(cents) AS cents"
 
 _RFM_LABEL = """CASE
-    WHEN r > 3 THEN CASE WHEN f > 3 AND m > 3 THEN 'Champions' WHEN f > 2 THEN 'Loyal' ELSE 'New / Promising' END
-    WHEN r = 3 THEN CASE WHEN f > 2 THEN 'Potential Loyalist' ELSE 'Needs Attention' END
-    WHEN f > 3 THEN 'At Risk' WHEN f < 3 THEN 'Hibernating / Lost'
-    WHEN m > 3 THEN '{lapsed}' ELSE 'Needs Attention' END"""
+    WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'Champions'
+    WHEN r >= 4 AND f >= 3 THEN 'Loyal'
+    WHEN r >= 4 AND f <= 2 THEN 'New / Promising'
+    WHEN r = 3 AND f >= 3 THEN 'Potential Loyalist'
+    WHEN r <= 2 AND f >= 4 THEN 'At Risk'
+    WHEN r <= 2 AND f >= 3 AND m >= 4 THEN '{lapsed}'
+    WHEN r <= 2 AND f <= 2 THEN 'Hibernating / Lost'
+    ELSE 'Needs Attention' END"""
 _LABEL8 = _RFM_LABEL.format(lapsed="Cant Lose Them")
 _LABEL7 = _RFM_LABEL.format(lapsed="Needs Attention")
 
@@ -55,6 +59,8 @@ _SPEED = f"""count(*) AS total_orders,
     {ratio("sum(valid_minutes) FILTER (WHERE is_delivered)", "count(valid_minutes) FILTER (WHERE is_delivered)", 6)} AS avg_delivery_time,
     {ratio("count(*) FILTER (WHERE is_on_time)", "count(valid_minutes) FILTER (WHERE is_delivered)", 6)} AS on_time_rate"""
 
+_TEXT_MONEY = "printf('%d.%02d', {0} // 100, {0} % 100)"
+
 _CITY = "upper(left(trim({0}), 1)) || lower(substr(trim({0}), 2))"
 
 _CLEAN_DATE = """CAST(coalesce(try_strptime(signup_text, '%Y-%m-%d'), try_strptime(signup_text, '%m/%d/%Y'),
@@ -269,6 +275,8 @@ _BODIES: dict[str, str] = {
         FROM (SELECT hour(order_timestamp) AS hour_of_day, count(*) AS n FROM m_orders GROUP BY 1)""",
     "selective_lookup": f"""
         SELECT order_id, {money("cents")} AS total_amount FROM m_done WHERE restaurant_id = 42""",
+    "selective_lookup_layout": f"""
+        SELECT order_id, {money("cents")} AS total_amount FROM m_done WHERE restaurant_id = 42""",
     "kpi_topline": f"""
         SELECT (SELECT count(*) FROM m_customers) AS customers, (SELECT count(*) FROM m_restaurants) AS restaurants,
                (SELECT count(*) FROM m_orders) AS total_orders, count(*) AS delivered_orders,
@@ -302,6 +310,20 @@ _BODIES: dict[str, str] = {
     "stage_text": """
         SELECT CAST(customer_id AS VARCHAR) AS customer_id, name, city, signup_text AS signup_date, segment
         FROM m_raw_customers""",
+    "stage_text_all": f"""
+        SELECT 'customers' AS table_name, concat_ws('|', customer_id, name, coalesce(city, ''), signup_text, segment) AS record
+        FROM m_raw_customers
+        UNION ALL SELECT 'restaurants', concat_ws('|', restaurant_id, name, cuisine_type, coalesce(city, ''), active_since,
+               coalesce(printf('%.2f', avg_rating), '')) FROM m_restaurants
+        UNION ALL SELECT 'menu_items', concat_ws('|', item_id, restaurant_id, name, category, {_TEXT_MONEY.format("price_cents")})
+        FROM m_menu_items
+        UNION ALL SELECT 'riders', concat_ws('|', rider_id, name, coalesce(city, ''), join_date, vehicle_type) FROM m_riders
+        UNION ALL SELECT 'orders', concat_ws('|', order_id, customer_id, restaurant_id, coalesce(CAST(rider_id AS VARCHAR), ''),
+               order_timestamp, status, payment_method, {_TEXT_MONEY.format("cents")},
+               coalesce(CAST(minutes AS VARCHAR), ''), {_TEXT_MONEY.format("discount_cents")}) FROM m_raw_orders
+        UNION ALL SELECT 'order_items', concat_ws('|', order_id, item_id, quantity, {_TEXT_MONEY.format("price_cents")}) FROM m_items
+        UNION ALL SELECT 'reviews', concat_ws('|', order_id, order_id, coalesce(CAST(rating AS VARCHAR), ''), '', date_text)
+        FROM m_raw_reviews""",
     "parse_dates": "SELECT review_id, date_text, review_date FROM m_reviews",
     "dedup_customers": """
         SELECT customer_id, name, coalesce(city, '') AS city, signup_text AS signup_date, segment
@@ -333,23 +355,24 @@ _BODIES: dict[str, str] = {
     "row_counts": "\nUNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source}"
         for name, source in (
-            ("customers", "m_customers"),
+            ("customers", "m_dedup_customers"),
             ("restaurants", "m_restaurants"),
             ("menu_items", "m_menu_items"),
             ("riders", "m_riders"),
-            ("orders", "m_orders"),
-            ("order_items", "m_items"),
-            ("reviews", "m_reviews"),
+            ("orders", "m_clean_orders"),
+            ("order_items", "m_items WHERE order_id IN (SELECT order_id FROM m_clean_orders)"),
+            ("reviews", "m_reviews WHERE order_id IN (SELECT order_id FROM m_clean_orders)"),
         )
     ),
     "dq_summary": """
         SELECT (SELECT count(*) FROM m_dedup_customers) AS customers_after_dedup,
                (SELECT count(*) FROM m_raw_customers) - (SELECT count(*) FROM m_dedup_customers) AS dupes_removed,
                (SELECT count(*) FROM m_restaurants WHERE avg_rating IS NULL) AS null_ratings,
-               (SELECT count(*) FROM m_reviews WHERE rating IS NULL) AS null_review_ratings,
-               count(*) FILTER (WHERE minutes IS NULL) AS null_delivery_times,
+               (SELECT count(*) FROM m_reviews
+                WHERE rating IS NULL AND order_id IN (SELECT order_id FROM m_clean_orders)) AS null_review_ratings,
+               count(*) FILTER (WHERE minutes IS NULL OR minutes < 0) AS null_delivery_times,
                count(*) FILTER (WHERE minutes > 180) AS outlier_delivery_times
-        FROM m_orders""",
+        FROM m_clean_orders""",
     "dim_date": """
         SELECT date_key, year(date_key) AS year, quarter(date_key) AS quarter, 'Q' || quarter(date_key) AS quarter_name,
                month(date_key) AS month_no, strftime(date_key, '%b') AS month_short,
@@ -401,6 +424,38 @@ _BODIES: dict[str, str] = {
         FROM m_month_calendar now
         LEFT JOIN m_month_calendar pm ON pm.month = now.month - INTERVAL 1 MONTH
         LEFT JOIN m_month_calendar py ON py.month = now.month - INTERVAL 1 YEAR ORDER BY 1""",
+    "metrics_mtd_ytd_sliced": f"""
+        SELECT date_key, total_revenue, revenue_mtd, revenue_ytd,
+               {money("sum(day_cents) OVER (ORDER BY date_key)")} AS running_revenue FROM (
+            SELECT date_key, {money("cents")} AS total_revenue, cents AS day_cents,
+                   {money("sum(cents) OVER (PARTITION BY year(date_key), month(date_key) ORDER BY date_key)")} AS revenue_mtd,
+                   {money("sum(cents) OVER (PARTITION BY year(date_key) ORDER BY date_key)")} AS revenue_ytd
+            FROM m_dates LEFT JOIN (SELECT day, sum(cents) AS cents FROM m_done GROUP BY day) ON day = date_key)
+        WHERE date_key BETWEEN DATE '1998-03-15' AND DATE '1998-05-10'""",
+    "metrics_mom_yoy_sliced": f"""
+        SELECT cal.month, {money("now.cents")} AS total_revenue, {money("pm.cents")} AS revenue_pm,
+               {ratio("coalesce(now.cents, 0) - pm.cents", "pm.cents", 6)} AS mom_rate,
+               {money("py.cents")} AS revenue_py,
+               {ratio("coalesce(now.cents, 0) - py.cents", "py.cents", 6)} AS yoy_rate
+        FROM (SELECT DISTINCT month FROM m_month_calendar WHERE year(month) = 1998) cal
+        LEFT JOIN (SELECT month, cents FROM m_city_months) now ON now.month = cal.month
+        LEFT JOIN m_city_months pm ON pm.month = cal.month - INTERVAL 1 MONTH
+        LEFT JOIN m_city_months py ON py.month = cal.month - INTERVAL 1 YEAR""",
+    "metrics_new_returning_by_city": f"""
+        SELECT city, count(*) AS active_customers, count(*) FILTER (WHERE first_day >= start) AS new_customers,
+               count(*) FILTER (WHERE first_day < start) AS returning_customers,
+               {ratio("count(*) FILTER (WHERE first_day < start)", "count(*)", 6)} AS repeat_rate
+        FROM (SELECT DISTINCT city, customer_id FROM m_done JOIN m_restaurants USING (restaurant_id)
+              WHERE year(day) IN (1997, 1998))
+        JOIN (SELECT customer_id, min(day) AS first_day FROM m_done GROUP BY customer_id) USING (customer_id),
+             (SELECT min(date_key) AS start FROM m_dates WHERE year(date_key) IN (1997, 1998))
+        GROUP BY city""",
+    "metrics_reviews_by_cuisine": f"""
+        SELECT cuisine_type, {ratio("sum(rating)", "count(rating)", 6)} AS avg_rating, count(rating) AS review_count
+        FROM m_reviews JOIN m_orders USING (order_id) JOIN m_restaurants USING (restaurant_id) GROUP BY 1""",
+    "kpi_avg_rating": f"""
+        SELECT {ratio("sum(rating)", "count(rating)", 6)} AS avg_rating, count(rating) AS review_count
+        FROM m_reviews JOIN m_orders USING (order_id)""",
     "metrics_new_returning": f"""
         SELECT month, count(*) AS active_customers, count(*) FILTER (WHERE month = cohort_month) AS new_customers,
                count(*) FILTER (WHERE month <> cohort_month) AS returning_customers,

@@ -19,7 +19,7 @@ def con():
     return connect(TESTDATA)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.QUERIES)
 def test_query_equals_sql(spark, con, name):
     df = contract.queries()[name](spark, TESTDATA)
     assert difference(df, con, contract.oracle_sql()[name]) is None
@@ -29,7 +29,7 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert contract.QUERIES.keys() == contract.ORACLE.keys()
 
 
 def test_entry_has_rows(spark):

@@ -131,8 +131,14 @@ def test_taxonomy_walk_and_rollup(spark):
 
 def test_cycle_below_a_root_raises(spark):
     edges = spark.createDataFrame([("r", None), ("a", "r"), ("a", "b"), ("b", "a")], "node string, parent string")
-    with pytest.raises(ValueError, match="cyclic"):
-        hierarchy.walk_tree(edges, max_depth=4)
+    with pytest.raises(ValueError, match="cycle"):
+        hierarchy.walk_tree(edges)
+
+
+def test_a_deep_chain_is_walked_to_its_end(spark):
+    edges = [(0, None), *((k, k - 1) for k in range(1, 1501))]
+    tree = hierarchy.walk_tree(spark.createDataFrame(edges, "node int, parent int"))
+    assert rows(tree.select("node", "level", "root").orderBy("node")) == [(k, k, 0) for k in range(1501)]
 
 
 def test_cohorts(market):
@@ -147,6 +153,9 @@ def test_cohorts(market):
     wide = customers.cohort_matrix_pivot(market.orders, [0, 1, 2])
     assert wide.columns == ["cohort_month", "cohort_size", "month_0", "month_1", "month_2"]
     assert rows(wide)[0][2:] == (D("100.0"), None, D("100.0"))
+    assert customers.cohort_matrix_pivot(market.orders).columns == wide.columns
+    with pytest.raises(ValueError, match="outside"):
+        customers.cohort_matrix_pivot(market.orders, [0, 1])
     assert rows(customers.new_vs_returning(market.orders)) == [
         (jan, D("150.00"), None, None),
         (mar, D("25.25"), D("10.00"), D("28.4")),

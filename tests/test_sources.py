@@ -12,7 +12,8 @@ from bazaarlens.plans import revenue
 from bazaarlens.schemas import TABLES, as_text
 from bazaarlens.session import shared_dir
 from bazaarlens.sources import sinks, staging
-from bazaarlens.sources.marketplace import create_views, read_marketplace
+from bazaarlens.operators import cleaning
+from bazaarlens.sources.marketplace import create_star_views, create_views, read_marketplace
 
 from conftest import rows
 
@@ -30,6 +31,37 @@ def test_csv_keeps_text_as_it_is(spark, tmp_path):
     assert {kind for _, kind in again.dtypes} == {"string"}
 
 
+def csv(tmp_path, text: str) -> str:
+    path = tmp_path / "t.csv"
+    path.write_text(text)
+    return str(path)
+
+
+PAIR = "a string, b string"
+
+
+def test_csv_values_keep_line_breaks_and_quotes(spark, tmp_path):
+    path = csv(tmp_path, 'a,b\n1,"nice\nfood"\n2,"say ""hi"", please"\n')
+    found = staging.read_text(spark, path, spark.createDataFrame([], PAIR).schema)
+    assert sorted(rows(found)) == [("1", "nice\nfood"), ("2", 'say "hi", please')]
+
+
+@pytest.mark.parametrize("row", ["1,2,3", "1"])
+def test_csv_rows_of_wrong_width_fail_or_are_set_aside(spark, tmp_path, row):
+    path, schema = csv(tmp_path, f"a,b\nx,y\n{row}\n"), spark.createDataFrame([], PAIR).schema
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
+        staging.read_text(spark, path, schema).select("a").collect()
+    found = staging.read_text(spark, path, schema, rejects="bad")
+    assert rows(found.filter("bad is null").select("a", "b")) == [("x", "y")]
+    assert [r["bad"] for r in found.filter("bad is not null").collect()] == [row]
+
+
+def test_csv_header_in_another_order_fails(spark, tmp_path):
+    path = csv(tmp_path, "b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        staging.read_text(spark, path, spark.createDataFrame([], PAIR).schema).collect()
+
+
 def test_stage_reads_every_table(spark, tmp_path, market):
     for name, df in market.items():
         staging.write_text(staging.to_text(df), str(tmp_path / f"{name}.csv"))
@@ -48,6 +80,28 @@ def test_refresh_replaces_and_reads_back(spark, tmp_path, market):
     assert spark.sql("SELECT count(*) FROM mart_orders").first()[0] == 7
 
 
+def test_refresh_onto_its_own_source_keeps_every_row(spark, tmp_path, market):
+    sinks.refresh(market, str(tmp_path))
+    again = read_marketplace(spark, str(tmp_path))
+    counts = {name: df.count() for name, df in again.items()}
+    sinks.refresh(again, str(tmp_path))
+    assert {name: df.count() for name, df in read_marketplace(spark, str(tmp_path)).items()} == counts
+    assert not glob.glob(f"{tmp_path}/.new-*")
+
+
+def test_refresh_from_text_equals_cleaning(spark, tmp_path, fixtures):
+    sinks.refresh_from_text(fixtures.raw, str(tmp_path))
+    loaded = read_marketplace(spark, str(tmp_path))
+    for name, df in cleaning.clean_all(fixtures.raw).items():
+        found = getattr(loaded, name).select(df.columns)
+        assert df.exceptAll(found).isEmpty() and df.count() == found.count()
+
+
+def test_star_views_have_names(spark, market):
+    names = create_star_views(star.star_schema(market), "v_")
+    assert len(names) == 8 and spark.sql("SELECT count(*) FROM v_fact_orders").first()[0] == 7
+
+
 def test_marts_are_split_by_month(spark, tmp_path, market):
     sinks.write_marts(star.star_schema(market), str(tmp_path))
     months = sorted(p.rsplit("=", 1)[1] for p in glob.glob(f"{tmp_path}/fact_orders/month=*"))

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from bazaarlens.operators import star
-from bazaarlens.operators.metrics import ADDITIVE, Dimension, metric
-from bazaarlens.plans import dashboards
+from bazaarlens.operators.metrics import ADDITIVE, Dimension, customer_metrics, metric
+from bazaarlens.plans import customers, dashboards, rfm
 
 from conftest import order, rows
 
@@ -139,3 +139,40 @@ def test_labels_and_items(tables, make):
     assert rows(dashboards.metrics_label(facts))[0][2] == "2.50 L"
     sold = rows(dashboards.items_sold(tables["fact_order_items"], tables["dim_menu_items"]))
     assert sold == [(100, "naan", 3), (101, "dosa", 1)]
+
+
+def test_two_dimensions_on_one_key(spark, tables):
+    holidays = tables["dim_date"].select("date_key", (F.col("day_of_month") == 1).alias("is_holiday"))
+    dims = {"year": Dimension(tables["dim_date"], "date_key"), "is_holiday": Dimension(holidays, "date_key")}
+    found = metric(tables["fact_orders"], ["total_orders"], ["year", "is_holiday"], dims)
+    assert found.agg(F.sum("total_orders")).first()[0] == tables["fact_orders"].count()
+    assert found.where("is_holiday is null or year is null").isEmpty()
+
+
+def test_shifts_and_sums_reach_beyond_the_selection(spark, fixtures):
+    facts, dates = star.order_facts(fixtures.orders), star.dim_date(fixtures.orders)
+    whole = {r["month"]: r for r in dashboards.metrics_mom_yoy(facts, dates).collect()}
+    for r in dashboards.metrics_mom_yoy(facts, dates, F.year("month") == 1998).collect():
+        assert r == whole[r["month"]]
+    days = {r["date_key"]: r for r in dashboards.metrics_mtd_ytd(facts, dates).collect()}
+    sliced = dashboards.metrics_mtd_ytd(facts, dates, F.col("date_key").between("1998-03-15", "1998-04-02")).collect()
+    assert len(sliced) == 19
+    assert all(r["revenue_ytd"] == days[r["date_key"]]["revenue_ytd"] and r["revenue_mtd"] == days[r["date_key"]]["revenue_mtd"] for r in sliced)
+    assert sliced[-1]["running_revenue"] == sum(r["total_revenue"] or 0 for r in sliced)
+
+
+def test_new_customers_by_year_add_up_to_all(spark, fixtures):
+    facts, dates = star.order_facts(fixtures.orders), star.dim_date(fixtures.orders)
+    by_year = customer_metrics(facts, ["year"], {"year": Dimension(dates, "date_key")})
+    everyone = customer_metrics(facts).first()
+    assert by_year.agg(F.sum("new_customers")).first()[0] == everyone["active_customers"] == everyone["new_customers"]
+    month = customer_metrics(facts, ["year_month"], {"year_month": Dimension(dates, "date_key")})
+    known = {f"{r['month']:%Y-%m}": (r["active_customers"], r["new_customers"]) for r in dashboards.metrics_new_returning(fixtures.orders).collect()}
+    assert {r["year_month"]: (r["active_customers"], r["new_customers"]) for r in month.collect()} == known
+
+
+def test_churn_and_rfm_read_orders_once(spark, fixtures):
+    for df in (customers.churn_rate(fixtures.orders), rfm.rfm_rollup(fixtures.orders)):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan") <= 1
