@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.operators.aggregates import VALID_MINUTES, count_where
 from bazaarlens.schemas import DOMAINS, FOREIGN_KEYS, PRIMARY_KEYS, RANGES, REQUIRED
+from bazaarlens.session import cut_lineage
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -72,26 +73,31 @@ def _audit_values(table: str, df: DataFrame, rules: dict[str, Column]) -> DataFr
     )
 
 
-def _audit_unique(table: str, df: DataFrame, key: str) -> DataFrame:
-    """Rows beyond the first of each key value.
+def _key_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, n): rows per value of every key and reference column, in one pass over the table.
 
-    Kept apart from the other rules: keys are nearly unique, so this shuffle
-    carries almost every row, and nothing but the key should travel with it.
+    Tasks combine before the shuffle, so a popular reference is one row per task. Written once:
+    uniqueness, references and the key list of a parent are all read from it.
     """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("value")) for c in columns]))
+    found = df.select(pairs.alias("x")).select("x.column", "x.value").filter("value is not null")
+    return cut_lineage(found.groupBy("column", "value").agg(F.count("*").alias("n")))
+
+
+def _audit_unique(table: str, counts: DataFrame, key: str) -> DataFrame:
+    """Rows beyond the first of each key value."""
     surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint")
     return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("n"))
+        counts.filter(F.col("column") == key)
         .agg(surplus.alias("violations"))
         .select(F.lit(table).alias("table_name"), F.lit(f"{key} unique").alias("rule"), "violations")
     )
 
 
-def _audit_reference(child: str, df: DataFrame, column: str, parent: DataFrame, key: str, name: str) -> DataFrame:
-    """Rows whose reference has no target; references are counted per value before the join."""
-    used = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    missing = used.join(parent.select(F.col(key).alias(column)), column, "left_anti")
+def _audit_reference(child: str, counts: DataFrame, column: str, parents: DataFrame, key: str, name: str) -> DataFrame:
+    """Rows whose reference has no target."""
+    targets = parents.filter(F.col("column") == key).select("value")
+    missing = counts.filter(F.col("column") == column).join(targets, "value", "left_anti")
     return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations")).select(
         F.lit(child).alias("table_name"), F.lit(f"{column} in {name}").alias("rule"), "violations"
     )
@@ -100,13 +106,19 @@ def _audit_reference(child: str, df: DataFrame, column: str, parent: DataFrame,
 def constraint_audit(
     tables: Mapping[str, DataFrame], domains: Mapping = DOMAINS, ranges: Mapping = RANGES
 ) -> DataFrame:
-    """Violations of every key, reference, domain, range and not-null rule."""
-    found = []
+    """Violations of every key, reference, domain, range and not-null rule.
+
+    Each table is read twice: once for the rules of single rows, once for all its keys and references.
+    """
+    references = [r for r in FOREIGN_KEYS if r[0] in tables and r[2] in tables]
+    found, counts = [], {}
     for name, df in tables.items():
+        keyed = [PRIMARY_KEYS[name], *[c for child, c, _, _ in references if child == name]]
+        keyed += [key for _, _, parent, key in references if parent == name]
+        counts[name] = _key_counts(df, [c for c in dict.fromkeys(keyed) if c in df.columns])
         if PRIMARY_KEYS[name] in df.columns:
-            found.append(_audit_unique(name, df, PRIMARY_KEYS[name]))
+            found.append(_audit_unique(name, counts[name], PRIMARY_KEYS[name]))
         found.append(_audit_values(name, df, _value_rules(name, df.columns, domains, ranges)))
-    for child, column, parent, key in FOREIGN_KEYS:
-        if child in tables and parent in tables:
-            found.append(_audit_reference(child, tables[child], column, tables[parent], key, parent))
+    for child, column, parent, key in references:
+        found.append(_audit_reference(child, counts[child], column, counts[parent], key, parent))
     return _union(found).orderBy("table_name", "rule")
