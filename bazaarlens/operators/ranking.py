@@ -93,6 +93,44 @@ def global_ntile(
     return placed.select(*df.columns, (bucket + 1).cast("int").alias(name))
 
 
+def ntile_by_bounds(
+    df: DataFrame,
+    buckets: int,
+    axis: str,
+    key: str,
+    name: str,
+    rows: int,
+    descending: bool = False,
+    task_rows: int = TASK_ROWS,
+) -> DataFrame:
+    """``NTILE(buckets)`` by one number and a unique key, where NULLs rank worst (ascending: last, descending: first).
+
+    Many rows are not moved as they are: only (number, key) is cut into slices to find
+    the last pair of each bucket, and a row's bucket is the number of such pairs before it.
+    """
+    order = [F.desc_nulls_first(axis) if descending else F.asc_nulls_last(axis), F.asc(key)]
+    if rows <= task_rows:
+        return df.withColumn(name, F.ntile(buckets).over(Window.orderBy(*order)))
+    size, surplus = divmod(rows, buckets)
+    last = [k * size + min(k, surplus) for k in range(1, buckets)]
+    placed = global_row_number(df.select(axis, key), order, "_position", rows, task_rows)
+    bounds = placed.filter(F.col("_position").isin(last)).collect()  # one row per bucket
+    value, place = F.col(axis), F.col(key)
+
+    def after(bound) -> Column:
+        if bound[axis] is None:
+            tied = value.isNull() & (place > bound[key])
+            return tied | value.isNotNull() if descending else tied
+        tied = (value == bound[axis]) & (place > bound[key])
+        beyond = value < bound[axis] if descending else value > bound[axis]
+        return F.coalesce(beyond | tied, F.lit(not descending))
+
+    score = F.lit(1)
+    for bound in bounds:
+        score = score + after(bound).cast("int")
+    return df.withColumn(name, score)
+
+
 def rank_by_value(
     df: DataFrame,
     value: str,

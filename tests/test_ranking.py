@@ -6,6 +6,7 @@ from pyspark.sql import Window, functions as F
 from bazaarlens.operators.ranking import (
     global_ntile,
     global_row_number,
+    ntile_by_bounds,
     rank_by_value,
     sequence_in_group,
     top_per_group,
@@ -97,3 +98,14 @@ def test_rank_limit_reaches_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id", "id % 2 AS g")
     plan = top_per_group(df, ["g"], [F.desc("id")], 3, "k")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("rows", [3, 4, 5, 37])
+@pytest.mark.parametrize("descending", [False, True])
+def test_ntile_by_bounds_at_the_limit(spark, rows, descending):
+    data = [(k, None if k % 7 == 3 else k * 5 % 11) for k in range(rows)]
+    df = spark.createDataFrame(data, "id int, v int")
+    plain = ntile_by_bounds(df, 5, "v", "id", "q", rows, descending, task_rows=rows)
+    for limit in (rows - 1, 1):
+        sliced = ntile_by_bounds(df, 5, "v", "id", "q", rows, descending, task_rows=limit)
+        assert sorted(sliced.collect(), key=repr) == sorted(plain.collect(), key=repr)
