@@ -187,6 +187,7 @@ QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {
     "constraint_audit": _audited,
     "row_counts": lambda f: quality.row_counts(dict(cleaning.clean_all(f.raw).items())),
     "dq_summary": _summary,
+    "unparsed_dates": lambda f: quality.unparsed_dates(f.raw),
     # star schema
     "dim_date": lambda f: star.dim_date(f.orders),
     "dim_customers": lambda f: star.dim_customers(f.customers),

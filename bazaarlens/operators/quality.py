@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from bazaarlens.functions.dates import DATE_PATTERNS, parse_date
+from bazaarlens.functions.text import blank_to_null
 from bazaarlens.operators.aggregates import VALID_MINUTES, count_where
 from bazaarlens.schemas import DOMAINS, FOREIGN_KEYS, PRIMARY_KEYS, RANGES, REQUIRED
 from bazaarlens.session import cut_lineage
@@ -48,6 +50,23 @@ def dq_summary(
     )
 
 
+# Date columns of the raw tables.
+RAW_DATES = {"customers": "signup_date", "restaurants": "active_since", "riders": "join_date", "reviews": "review_date"}
+
+
+def unparsed_dates(raw: Mapping[str, DataFrame], patterns: Sequence[str] = DATE_PATTERNS) -> DataFrame:
+    """Date texts per raw table, and how many of them fit no pattern and so become NULL."""
+    found = []
+    for table, column in RAW_DATES.items():
+        text = blank_to_null(F.col(column))
+        counts = raw[table].agg(
+            F.count(text).alias("date_texts"),
+            count_where(text.isNotNull() & parse_date(F.col(column), patterns).isNull()).alias("unparsed"),
+        )
+        found.append(counts.select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "date_texts", "unparsed"))
+    return _union(found).orderBy("table_name")
+
+
 def _value_rules(table: str, columns: list[str], domains: Mapping, ranges: Mapping) -> dict[str, Column]:
     """Violating-row condition per single-row rule; a NULL never breaks a domain or range."""
     rules = {f"{c} not null": F.col(c).isNull() for c in REQUIRED[table] if c in columns}

@@ -373,6 +373,13 @@ _BODIES: dict[str, str] = {
                count(*) FILTER (WHERE minutes IS NULL OR minutes < 0) AS null_delivery_times,
                count(*) FILTER (WHERE minutes > 180) AS outlier_delivery_times
         FROM m_clean_orders""",
+    "unparsed_dates": """
+        SELECT 'customers' AS table_name, 'signup_date' AS column_name, count(signup_text) AS date_texts,
+               count_if(try_strptime(signup_text, ['%Y-%m-%d', '%m/%d/%Y', '%m-%d-%Y', '%d-%b-%Y', '%d/%m/%Y']) IS NULL) AS unparsed
+        FROM m_raw_customers
+        UNION ALL SELECT 'restaurants', 'active_since', count(active_since), 0 FROM m_restaurants
+        UNION ALL SELECT 'riders', 'join_date', count(join_date), 0 FROM m_riders
+        UNION ALL SELECT 'reviews', 'review_date', count(date_text), count_if(review_date IS NULL) FROM m_reviews""",
     "dim_date": """
         SELECT date_key, year(date_key) AS year, quarter(date_key) AS quarter, 'Q' || quarter(date_key) AS quarter_name,
                month(date_key) AS month_no, strftime(date_key, '%b') AS month_short,

@@ -127,3 +127,11 @@ def test_counts_and_summary(spark, market):
     raw = text(spark, "customers", RAW_CUSTOMERS)
     found = quality.dq_summary(raw, cleaning.clean_customers(raw), market.restaurants, market.orders, market.reviews)
     assert rows(found) == [(3, 2, 1, 1, 2, 0)]
+
+
+def test_dates_that_fit_no_pattern_are_counted(spark, fixtures):
+    raw = dict(fixtures.raw)
+    texts = [("1", "2024/01/05"), ("2", "05/11/2024"), ("3", ""), ("4", "20240105")]
+    raw["riders"] = spark.createDataFrame(texts, "rider_id string, join_date string")
+    found = {r["table_name"]: (r["date_texts"], r["unparsed"]) for r in quality.unparsed_dates(raw).collect()}
+    assert found["riders"] == (3, 2) and found["reviews"][1] == 0
