@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from bazaarlens.functions.dates import month_of
 from bazaarlens.functions.numeric import average_money, cents, mean, money, percent
 from bazaarlens.operators.aggregates import count_where, delivered, per_key, sum_by_dimension, sums
-from bazaarlens.operators.ranking import measured, sequence_in_group, top_per_group
+from bazaarlens.operators.ranking import TASK_ROWS, measured, sequence_in_group, top_per_group
 
 def orders_and_revenue() -> dict[str, Column]:
     return {
@@ -265,10 +265,12 @@ def item_rank_all(
     order_items: DataFrame, orders: DataFrame, menu_items: DataFrame, **options: int
 ) -> DataFrame:
     """Rank of every sold item within its restaurant."""
-    # Written out once, because the size check and the ranking both read it.
-    units, rows = measured(
-        item_units(order_items, orders, menu_items).select("restaurant_id", "item_id", "units")
-    )
+    units = item_units(order_items, orders, menu_items).select("restaurant_id", "item_id", "units")
+    # There are no more ranked rows than menu items; only where those are many is the result
+    # written, because the size check and the ranking both read it.
+    rows = menu_items.count()
+    if rows > options.get("task_rows", TASK_ROWS):
+        units, rows = measured(units)
     order = [F.desc_nulls_first("units"), F.asc("item_id")]
     return sequence_in_group(units, "restaurant_id", order, "item_rank", rows=rows, **options)
 
