@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.components import components
-from bazaarlens.llm.shingles import in_pieces, mixed, shingles, words
+from bazaarlens.llm.shingles import in_pieces, in_tasks, mixed, shingles, words
 from bazaarlens.llm.text import KEY, row_key, without
 from bazaarlens.session import cut_lineage
 
@@ -48,7 +48,7 @@ def inverse_frequencies(docs: DataFrame, text_column: str = "text") -> np.ndarra
     Every document counts. What reaches the driver is one number for each of ``CELLS`` cells,
     however large the corpus.
     """
-    counted = docs.select(F.col(text_column).cast("binary").alias("text")).mapInArrow(_count_cells, "cell bigint, n bigint")
+    counted = in_tasks(docs.select(F.col(text_column).cast("binary").alias("text")), _count_cells, "cell bigint, n bigint")
     rows = counted.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     cells, sums = rows["cell"].to_numpy(), rows["n"].to_numpy()
     n = sums[cells == -1].sum()
@@ -155,7 +155,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, rows: DataFrame, idf: np.ndarr
     both = placed.join(bodies.select(F.col(KEY).alias("row_a"), F.col("text").alias("text_a")), "row_a").join(
         bodies.select(F.col(KEY).alias("row_b"), F.col("text").alias("text_b")), "row_b"
     )
-    return cut_lineage(both.select("a", "b", "text_a", "text_b").mapInArrow(_similarity(idf, least), "a binary, b binary").distinct())
+    return cut_lineage(in_tasks(both.select("a", "b", "text_a", "text_b"), _similarity(idf, least), "a binary, b binary").distinct())
 
 
 def near_classes(
@@ -181,7 +181,7 @@ def near_classes(
     kind = rows.schema["id"].dataType.simpleString()
     bands = [f"b{k}" for k in range(BANDS)]
     schema = f"{KEY} binary, id {kind}, node binary, " + ", ".join(f"{b} bigint" for b in bands)
-    sketched = cut_lineage(rows.select(KEY, "id", F.col("text").cast("binary").alias("text")).mapInArrow(_sketch(idf), schema))
+    sketched = cut_lineage(in_tasks(rows.select(KEY, "id", F.col("text").cast("binary").alias("text")), _sketch(idf), schema))
     texts = cut_lineage(
         sketched.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(KEY).alias("row"), *[F.first(b).alias(b) for b in bands])
     )

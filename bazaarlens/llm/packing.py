@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.shingles import in_pieces
+from bazaarlens.llm.shingles import in_pieces, in_tasks
 from bazaarlens.session import cut_lineage
 
 CAPACITY = 2048
@@ -219,7 +219,7 @@ def pack(
     kind = docs.schema[id_column].dataType.simpleString()
     schema = f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids array<int>" if with_ids else "")
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("binary").alias("text"))
-    pieces = cut_lineage(texts.mapInArrow(_cut(tokenizer_path, capacity, end_id, with_ids), schema))
+    pieces = cut_lineage(in_tasks(texts, _cut(tokenizer_path, capacity, end_id, with_ids), schema))
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = Plan(counts, capacity)
     names = ["length", "first", "n", "sequence", "each", "offset"]

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.shingles import in_pieces, shingles, words
+from bazaarlens.llm.shingles import in_pieces, in_tasks, shingles, words
 from bazaarlens.session import cut_lineage
 
 #: At most so many labelled rows are learned from.
@@ -147,7 +147,7 @@ def train(labelled: DataFrame, label_column: str = "quality", id_column: str = "
     source = labelled.select(
         F.col(label_column).cast("double").alias("label"), part.alias("part"), F.col(text_column).cast("binary").alias("text")
     ).where(F.col("label").isin(0.0, 1.0))
-    rows = cut_lineage(source.mapInArrow(_measured, "label double, part bigint, stats array<double>"))
+    rows = cut_lineage(in_tasks(source, _measured, "label double, part bigint, stats array<double>"))
     moments = [f(F.get("stats", F.lit(k))) for k in range(len(NAMES)) for f in (F.avg, F.stddev_pop)]
     found = rows.agg(F.count(F.lit(1)), F.avg("label"), *moments).first()
     share = 0.5 if found[1] is None else found[1]
@@ -156,7 +156,7 @@ def train(labelled: DataFrame, label_column: str = "quality", id_column: str = "
         return model
     moment = np.array(found[2:], float).reshape(-1, 2)
     model = Model(moment[:, 0], np.maximum(moment[:, 1], 1e-6))
-    sums = rows.where("part < 3").select("label", "stats").mapInArrow(_normal(model), "i bigint, j bigint, v double")
+    sums = in_tasks(rows.where("part < 3").select("label", "stats"), _normal(model), "i bigint, j bigint, v double")
     entries = sums.groupBy("i", "j").agg(F.sum("v").alias("v")).toArrow()
     if not entries.num_rows:
         return Model(model.mean, model.deviation, np.zeros(FEATURES + 1), np.array([0.0]), np.array([share]))
@@ -165,7 +165,7 @@ def train(labelled: DataFrame, label_column: str = "quality", id_column: str = "
     full = full + np.triu(full, 1).T
     left, right, n = full[:-1, :-1], full[:-1, -1], full[-2, -2]
     model.weights = np.linalg.solve(left + RIDGE * max(n, 1) * np.eye(FEATURES + 1) / FEATURES, right)
-    held = rows.where("part = 3").select("label", "stats").mapInArrow(_scored(model, "raw"), "label double, raw double")
+    held = in_tasks(rows.where("part = 3").select("label", "stats"), _scored(model, "raw"), "label double, raw double")
     bins = held.groupBy(F.floor(F.col("raw") * BINS).alias("bin")).agg(F.avg("raw"), F.avg("label"), F.count(F.lit(1))).orderBy("bin").collect()
     if not bins:
         return Model(model.mean, model.deviation, model.weights, np.array([0.0]), np.array([share]))
@@ -180,4 +180,4 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     """
     kind = docs.schema[id_column].dataType.simpleString()
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("binary").alias("text"))
-    return texts.mapInArrow(_scored(model, "chance"), f"id {kind}, score double").withColumnRenamed("id", id_column)
+    return in_tasks(texts, _scored(model, "chance"), f"id {kind}, score double").withColumnRenamed("id", id_column)

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.shingles import in_pieces
+from bazaarlens.llm.shingles import in_pieces, in_tasks
 
 # Patterns of the base kinds, and the least length of what is kept (of group 2, of the match).
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -132,5 +132,5 @@ def find_secrets(docs: DataFrame, novelty: float = NOVELTY, id_column: str = "do
     kind = docs.schema[id_column].dataType.simpleString()
     counts = ", ".join(f"n_{k} bigint" for k in KINDS)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    found = texts.mapInArrow(_scan(novelty), f"id {kind}, {counts}, base_sha256 string, spans string")
+    found = in_tasks(texts, _scan(novelty), f"id {kind}, {counts}, base_sha256 string, spans string")
     return found.withColumnRenamed("id", id_column)

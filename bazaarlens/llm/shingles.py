@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
 
 #: Words per shingle.
 SIZE = 5
@@ -65,3 +68,16 @@ def in_pieces(batches: Iterable[pa.RecordBatch], most_bytes: int = 1 << 20) -> I
         step = max(1, int(batch.num_rows * most_bytes / max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+
+
+def in_tasks(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df.mapInArrow(function, schema)``, with this package on the path of the Python workers.
+
+    Workers of a session that was started elsewhere find it there if they see the driver's folder;
+    on other machines it has to be installed or sent with the job.
+    """
+    known, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [path for path in known.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return df.mapInArrow(function, schema)

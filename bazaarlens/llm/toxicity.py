@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.shingles import in_pieces
+from bazaarlens.llm.shingles import in_pieces, in_tasks
 from bazaarlens.session import cut_lineage
 
 #: At most so many labelled rows, chains and lexicon entries are learned from and with.
@@ -54,7 +54,7 @@ def learn_lexicon(labelled: DataFrame, n_clean: int, n_toxic: int) -> dict[str,
 
     Counts are documents of the training rows, summed over tasks. At most ``LEXICON`` entries, the strongest.
     """
-    counts = labelled.mapInArrow(_count_forms, "form string, clean bigint, toxic bigint")
+    counts = in_tasks(labelled, _count_forms, "form string, clean bigint, toxic bigint")
     rate = (F.col("toxic") + 0.5) / F.lit(n_toxic + 1.0) * F.lit(n_clean + 1.0) / (F.col("clean") + 0.5)
     spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     scored = (
@@ -251,7 +251,7 @@ def train(labelled: DataFrame, label_column: str = "toxic", id_column: str = "do
     if len(sums) < 2:
         return Model()
     model = Model(learn_lexicon(rows, sums[0], sums[1]))
-    chains = cut_lineage(rows.mapInArrow(_chains(model.lexicon), "levels binary, labels binary, weight double"))
+    chains = cut_lineage(in_tasks(rows, _chains(model.lexicon), "levels binary, labels binary, weight double"))
     found = chains.orderBy(F.xxhash64("levels", "labels", "weight")).limit(TRAINING_CHAINS).toArrow()
     if found.num_rows:
         shape = (found.num_rows, CHAIN)
@@ -260,7 +260,7 @@ def train(labelled: DataFrame, label_column: str = "toxic", id_column: str = "do
             levels[k, : len(own)], labels[k, : len(own)] = np.frombuffer(own, np.uint8), np.frombuffer(marks, np.uint8)
             inside[k, : len(own)] = True
         model.emission, model.turn = fit_chains(levels, labels, inside, found["weight"].to_numpy())
-    scored = rows.mapInArrow(_document_features(model), "label int, f0 double, f1 double, f2 double").toArrow()
+    scored = in_tasks(rows, _document_features(model), "label int, f0 double, f1 double, f2 double").toArrow()
     x = np.column_stack([scored[f"f{k}"].to_numpy() for k in range(3)])
     model.document = _fit_logistic(x, scored["label"].to_numpy().astype(float))
     return model
@@ -291,4 +291,4 @@ def score(docs: DataFrame, model: Model, least: float = 0.5, id_column: str = "d
     kind = docs.schema[id_column].dataType.simpleString()
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     schema = f"id {kind}, score double, spans array<struct<start:bigint,end:bigint,chance:double>>"
-    return texts.mapInArrow(_tagged(model, least), schema).withColumnRenamed("id", id_column)
+    return in_tasks(texts, _tagged(model, least), schema).withColumnRenamed("id", id_column)
