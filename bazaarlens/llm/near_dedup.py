@@ -23,6 +23,8 @@ CELLS = 1 << 18
 DRAWS = 1 << 16
 #: Row keys of 16 bytes: up to so many are sent to every executor, more are shuffled.
 BROADCAST_ROWS = 300_000
+#: Texts, and bytes of texts, of a block: those of a bucket are compared block by block.
+BLOCK, BLOCK_BYTES = 256, 1 << 22
 
 
 def _cells(found: np.ndarray) -> np.ndarray:
@@ -119,27 +121,135 @@ def _sketch(idf: np.ndarray):
                 flat = [np.concatenate(x) for x in zip(*pairs)]
                 bands[some] = _banded(sample(*flat, starts, lengths))
             columns = [batch.column(KEY), batch.column("id"), pa.array(digests, pa.binary())]
+            columns.append(pa.array([len(text or b"") for text in texts], pa.int64()))
             columns += [pa.array(bands[:, k].copy().view(np.int64)) for k in range(BANDS)]
-            yield pa.RecordBatch.from_arrays(columns, names=[KEY, "id", "node", *(f"b{k}" for k in range(BANDS))])
+            yield pa.RecordBatch.from_arrays(columns, names=[KEY, "id", "node", "size", *(f"b{k}" for k in range(BANDS))])
 
     return run
 
 
+def _similar(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray], least: float) -> bool:
+    (fa, wa), (fb, wb) = one, two
+    _, at, bt = np.intersect1d(fa, fb, assume_unique=True, return_indices=True)
+    shared = float(np.minimum(wa[at], wb[bt]).sum(dtype=np.float64))
+    whole = float(wa.sum(dtype=np.float64)) + float(wb.sum(dtype=np.float64)) - shared
+    return shared >= least * whole
+
+
 def _similarity(idf: np.ndarray, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_pieces(batches):
-            keep = []
-            for one, two in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
-                (fa, wa), (fb, wb) = weighted(one, idf), weighted(two, idf)
-                _, at, bt = np.intersect1d(fa, fb, assume_unique=True, return_indices=True)
-                shared = float(np.minimum(wa[at], wb[bt]).sum(dtype=np.float64))
-                whole = float(wa.sum(dtype=np.float64)) + float(wb.sum(dtype=np.float64)) - shared
-                keep.append(shared >= least * whole)
+            texts = zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist())
+            keep = [_similar(weighted(one, idf), weighted(two, idf), least) for one, two in texts]
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
 
 
+def _links_of_blocks(members: list[dict], idf: np.ndarray, least: float) -> list[tuple[bytes, bytes]]:
+    """Links between members of two blocks of a bucket (of one, if all have one ``block``) that are in different classes.
+
+    A pair that agrees in a band before this one is compared, or was, in that band.
+    """
+    band, split = members[0]["band"], members[0]["i"] != members[0]["j"] or any(m["large"] for m in members)
+    texts = [weighted(m["text"], idf) for m in members]
+    lengths = np.array([len(found) for found, _ in texts])
+    starts = np.cumsum(lengths) - lengths
+    vocabulary, flat = np.unique(np.concatenate([found for found, _ in texts]), return_inverse=True)
+    weights = np.concatenate([w for _, w in texts])
+    sums = np.add.reduceat(weights.astype(np.float64), starts)
+    bands = np.array([m["bands"] for m in members], np.int64).reshape(len(members), -1)[:, :band]
+    names = {root: k for k, root in enumerate({m["root"] for m in members})}
+    classes = np.array([names[m["root"]] for m in members])
+    # The side that a member came for: those of one side are compared with the other's.
+    side = np.array([m["large"] or m["block"] != m["i"] for m in members])
+    dense, links = np.zeros(len(vocabulary), np.float32), []
+    for k in np.flatnonzero(~side):
+        others = (side if split else np.arange(len(members)) > k) & (classes != classes[k])
+        if band:
+            others &= ~(bands == bands[k]).any(axis=1)
+        others &= np.minimum(sums, sums[k]) >= (least - 1e-6) * np.maximum(sums, sums[k])
+        if not others.any():
+            continue
+        own = slice(starts[k], starts[k] + lengths[k])
+        dense[flat[own]] = weights[own]
+        shared = np.add.reduceat(np.minimum(dense[flat], weights).astype(np.float64), starts)
+        dense[flat[own]] = 0
+        for o in np.flatnonzero(others & (shared >= (least - 1e-6) * (sums + sums[k] - shared))):
+            if classes[o] != classes[k] and _similar(texts[k], texts[o], least):
+                links.append((members[k]["node"], members[o]["node"]))
+                classes[classes == classes[o]] = classes[k]
+    return links
+
+
+def _compared(idf: np.ndarray, least: float):
+    """Blocks come one after the other; what is held is those of one pair of blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def output(members: list[dict]) -> pa.RecordBatch:
+            links = _links_of_blocks(members, idf, least)
+            ends = [pa.array([min(x) for x in links], pa.binary()), pa.array([max(x) for x in links], pa.binary())]
+            return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+        held: list[dict] = []
+        for batch in in_pieces(batches):
+            for member in batch.to_pylist():
+                if held and any(held[0][c] != member[c] for c in ("band", "place", "i", "j", "of")):
+                    yield output(held)
+                    held = []
+                held.append(member)
+        if held:
+            yield output(held)
+
+    return run
+
+
+def _left_over(texts: DataFrame, joined: DataFrame, rows: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
+    """Links (a, b) between texts of a bucket (equal band) that are in different classes, by all their pairs.
+
+    Those of the class with most members in the bucket meet the rest, and the rest one another
+    too; within a class nothing is compared. Texts go to tasks in blocks, each pair of blocks by
+    itself, so no pair is a row and no bucket one task.
+    """
+    at, bands = ["band", "place"], [f"b{k}" for k in range(BANDS)]
+    classed = texts.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    places = F.explode(F.array(*[F.struct(F.lit(k).alias("band"), F.col(b).alias("place")) for k, b in enumerate(bands)]))
+    own = classed.select("node", "row", "size", "root", F.array(*bands).alias("bands"), places.alias("x"))
+    own = cut_lineage(own.select("x.band", "x.place", "node", "row", "size", "root", "bands"))
+    of_class = own.groupBy(*at, "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
+    buckets = cut_lineage(
+        of_class.groupBy(*at)
+        .agg(F.max(F.struct("n", "size", "root")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"))
+        .where(F.col("n") > F.col("most.n"))
+        .select(
+            *at,
+            F.col("most.root").alias("most"),
+            blocks(F.col("most.n"), F.col("most.size")).alias("n_most"),
+            blocks(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("n_rest"),
+        )
+    )
+    split = own.join(buckets, at).withColumn("large", F.col("root") == F.col("most"))
+    split = split.withColumn("block", F.pmod(F.xxhash64("node"), F.when(F.col("large"), F.col("n_most")).otherwise(F.col("n_rest"))).cast("int"))
+    # Pairs of blocks: (i, j) of the rest, i <= j, and (i of the rest, j of the largest class).
+    each = lambda n: F.sequence(F.lit(0), n - 1)
+    small = F.transform(
+        each(F.col("n_rest")),
+        lambda x: F.struct(F.least(x, "block").alias("i"), F.greatest(x, "block").alias("j"), F.lit(False).alias("of")),
+    )
+    with_large = F.transform(each(F.col("n_most")), lambda x: F.struct(F.col("block").alias("i"), x.alias("j"), F.lit(True).alias("of")))
+    large = F.transform(each(F.col("n_rest")), lambda x: F.struct(x.alias("i"), F.col("block").alias("j"), F.lit(True).alias("of")))
+    sent = split.withColumn("x", F.explode(F.when(F.col("large"), large).otherwise(F.concat(small, with_large))))
+    sent = cut_lineage(sent.select(*at, "x.i", "x.j", "x.of", "node", "row", "root", "bands", "large", "block"))
+    wanted = sent.select(F.col("row").alias(KEY)).distinct()
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    bodies = rows.select(KEY, F.col("text").cast("binary").alias("text")).join(F.broadcast(wanted) if few else wanted, KEY, "left_semi")
+    bodies = bodies.select(F.col(KEY).alias("row"), "text").dropDuplicates(["row"])
+    group = [*at, "i", "j", "of"]
+    ready = sent.join(bodies, "row").repartition(*group).sortWithinPartitions(*group)
+    return cut_lineage(in_tasks(ready, _compared(idf, least), "a binary, b binary").distinct())
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, rows: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
     """Those of ``pairs`` (a, b) whose weighted Jaccard similarity is ``least`` or more."""
     place = texts.select("node", "row")
@@ -166,10 +276,10 @@ def near_classes(
     Texts are multisets of five-word shingles (all words, if there are fewer), each
     weighted by its count and by how few documents hold its hashed cell. Consistent
     weighted samples are banded; texts that meet in a band are tied to two of the
-    band's texts, which differ from band to band, instead of to one another. Each tie is
-    verified on the whole texts: first the one that most bands propose for a text, then,
-    of all others, those between texts that are still in different classes. Ties
-    inside a class cannot change it. Classes are the connected components; equal word
+    band's texts, which differ from band to band. Of these ties the one that most bands
+    propose for a text is verified on the whole texts. Then all texts that meet in a band and are
+    still in different classes are compared, in blocks. Links inside a class
+    cannot change it. Classes are the connected components; equal word
     sequences form one node from the start, so copies are never paired.
 
     Texts without words (null and empty ones too) are classes of their own. Of each class the row
@@ -180,10 +290,10 @@ def near_classes(
     idf = inverse_frequencies(rows)
     kind = rows.schema["id"].dataType.simpleString()
     bands = [f"b{k}" for k in range(BANDS)]
-    schema = f"{KEY} binary, id {kind}, node binary, " + ", ".join(f"{b} bigint" for b in bands)
+    schema = f"{KEY} binary, id {kind}, node binary, size bigint, " + ", ".join(f"{b} bigint" for b in bands)
     sketched = cut_lineage(in_tasks(rows.select(KEY, "id", F.col("text").cast("binary").alias("text")), _sketch(idf), schema))
     texts = cut_lineage(
-        sketched.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(KEY).alias("row"), *[F.first(b).alias(b) for b in bands])
+        sketched.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(KEY).alias("row"), F.max("size").alias("size"), *[F.first(b).alias(b) for b in bands])
     )
     placed = texts.select("node", F.explode(F.array(*[F.struct(F.lit(k).alias("band"), F.col(b).alias("place")) for k, b in enumerate(bands)])).alias("x"))
     placed = placed.select("node", "x.band", "x.place")
@@ -206,15 +316,7 @@ def near_classes(
     first = best.select(F.least("a", "o").alias("a"), F.greatest("a", "o").alias("b")).distinct()
     links = _verified(first, texts, rows, idf, similarity)
     joined = components(links)
-    root = joined.select(F.col("node"), "root")
-    rest = (
-        pairs.join(first, ["a", "b"], "left_anti")
-        .join(root.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
-        .join(root.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-        .where(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
-        .select("a", "b")
-    )
-    links = links.union(_verified(rest, texts, rows, idf, similarity))
+    links = links.union(_left_over(texts, joined, rows, idf, similarity))
     joined = components(links).withColumnRenamed("root", "class")
     member = cut_lineage(
         sketched.select(KEY, "id", "node").join(joined, "node", "left").withColumn("class", F.coalesce("class", "node"))

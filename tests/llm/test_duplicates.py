@@ -84,6 +84,21 @@ def test_near_classes_against_all_pairs(documents, corpus):
     assert found == by_hand(corpus, idf)
 
 
+@pytest.mark.parametrize("block", [256, 7])
+def test_near_classes_within_a_template(documents, monkeypatch, block):
+    monkeypatch.setattr(near, "BLOCK", block)
+    dice = random.Random(12)
+    fresh = lambda n: [f"w{dice.randint(0, 10**7)}" for _ in range(n)]
+    template, pairs = fresh(400), []
+    for _ in range(60):
+        own = template[:40] + fresh(8) + template[40:] + fresh(8)
+        pairs += [(len(pairs) + k, " ".join(own + fresh(18) if k else own)) for k in range(2)]
+    docs = documents(pairs)
+    expected = by_hand(pairs, near.inverse_frequencies(docs))
+    assert 20 < len(set(expected.values())) < 100
+    assert {r["id"]: r["class_id"] for r in near.near_classes(docs).collect()} == expected
+
+
 def test_inverse_frequencies_count_documents(documents):
     pairs = [(1, "a b c d e f"), (2, "a b c d e"), (3, "q"), (4, None)]
     idf = near.inverse_frequencies(documents(pairs))
