@@ -35,9 +35,9 @@ def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents per cell over a partition; cell -1 counts the documents."""
     counts, n = np.zeros(CELLS, np.int64), 0
     for batch in in_pieces(batches):
-        found = [np.unique(shingles(words(text))) for text in batch.column("text").to_pylist()]
+        found = [np.unique(_cells(shingles(words(text)))) for text in batch.column("text").to_pylist()]
         n += len(found)
-        counts += np.bincount(_cells(np.concatenate(found)), minlength=CELLS)
+        counts += np.bincount(np.concatenate(found), minlength=CELLS)
     filled = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.append(filled, -1)), pa.array(np.append(counts[filled], n))], names=["cell", "n"]
@@ -47,7 +47,7 @@ def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def inverse_frequencies(docs: DataFrame, text_column: str = "text") -> np.ndarray:
     """Weight of each cell: ``1 + ln((1 + documents) / (1 + documents with the cell))``.
 
-    Every document counts. What reaches the driver is one number for each of ``CELLS`` cells,
+    Every document counts, once for each of its cells, so weights are 1 or more. What reaches the driver is one number for each of ``CELLS`` cells,
     however large the corpus.
     """
     counted = in_tasks(docs.select(F.col(text_column).cast("binary").alias("text")), _count_cells, "cell bigint, n bigint")

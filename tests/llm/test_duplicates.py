@@ -6,6 +6,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as contract
@@ -107,6 +108,13 @@ def test_inverse_frequencies_count_documents(documents):
     assert idf[near._cells(shingles(words(b"q")))][0] == pytest.approx(1 + np.log(5 / 2))
 
 
+def test_a_cell_counts_once_for_each_document():
+    text = " ".join(f"w{k}" for k in range(200_000)).encode()
+    (counted,) = near._count_cells(iter([pa.RecordBatch.from_arrays([pa.array([text, b"q"])], names=["text"])]))
+    found = dict(zip(counted["cell"].to_pylist(), counted["n"].to_pylist()))
+    assert found.pop(-1) == 2 and max(found.values()) <= 2
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     dice = random.Random(9)
     idf = np.ones(near.CELLS, np.float32)
