@@ -30,6 +30,9 @@ SENSITIVE = (
 BEFORE = 48
 #: Characters on either side that the compressor is primed with.
 AROUND = 256
+#: What stands between lines of one value: a line break, indents, quotes and joining signs.
+NEXT_LINE = r"""["',;+\x20\t]{0,8}(?:\r\n?|\n)["'\x20\t>#*|]{0,32}"""
+KEY_BLOCK = r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(.*?)(?:-----END |\Z)"
 #: Least marginal bytes for each character of a candidate.
 NOVELTY = 0.75
 #: Common identifiers of code and settings, with which the compressor is primed as well.
@@ -48,6 +51,7 @@ _ACCESS = re.compile(ACCESS)
 # Runs of hexadecimal digits never touch, so asking for the length at once finds the same ones.
 _HEX = re.compile(HEX.replace("+", f"{{{LEAST['hex']},}}"))
 _CANDIDATE = re.compile(CANDIDATE)
+_NEXT_LINE, _KEY_BLOCK, _KEY_LINE = re.compile(NEXT_LINE), re.compile(KEY_BLOCK, re.DOTALL), re.compile(NEXT_LINE + r"([A-Za-z0-9+/=]+)")
 _SENSITIVE = re.compile(SENSITIVE, re.ASCII | re.IGNORECASE)
 
 
@@ -78,7 +82,11 @@ def novelty(text: str, start: int, end: int) -> float:
 
 
 def novel_spans(text: str, taken: list[tuple[int, str, int]], least: float) -> list[tuple[int, str, int]]:
-    """Strings in sensitive places that don't compress and that no base span touches."""
+    """Strings in sensitive places that don't compress and that no base span touches.
+
+    A line directly after a reported one is in a sensitive place too; inside a private key
+    it is reported whatever its length, up to the end of the key.
+    """
     if not _SENSITIVE.search(text):
         return []
     found, sorted_taken = [], sorted((s, e) for s, _, e in taken)
@@ -88,9 +96,26 @@ def novel_spans(text: str, taken: list[tuple[int, str, int]], least: float) -> l
             continue
         if any(s < m.end() and m.start() < e for s, e in sorted_taken):
             continue
-        if _SENSITIVE.search(text, max(0, m.start() - BEFORE), m.start()) and novelty(text, *m.span()) >= least:
+        follows = found and _NEXT_LINE.fullmatch(text, found[-1][2], m.start())
+        if (follows or _SENSITIVE.search(text, max(0, m.start() - BEFORE), m.start())) and novelty(text, *m.span()) >= least:
             found.append((m.start(), "novel", m.end()))
-    return found
+    return sorted(found + _key_lines(text, found, sorted_taken)) if found else found
+
+
+def _key_lines(text: str, found: list[tuple[int, str, int]], taken: list[tuple[int, int]]) -> list[tuple[int, str, int]]:
+    """Lines of private keys that follow a line of ``found`` and are in neither list."""
+    more = []
+    for block in _KEY_BLOCK.finditer(text):
+        known = sorted([(s, e) for s, _, e in found if block.start(1) <= s < block.end(1)])
+        if not known:
+            continue
+        spans = known + [(s, e) for s, e in taken if s < block.end(1) and block.start(1) < e]
+        last = known[0][1]
+        while m := _KEY_LINE.match(text, last, block.end(1)):
+            last = m.end()
+            if not any(s < m.end(1) and m.start(1) < e for s, e in spans):
+                more.append((m.start(1), "novel", m.end(1)))
+    return more
 
 
 def _scan(least: float):
@@ -125,7 +150,7 @@ def find_secrets(docs: DataFrame, novelty: float = NOVELTY, id_column: str = "do
     (assign, access, hex, novel), joined by commas; ``base_sha256`` is the digest of those of the first
     three kinds. Spans of one kind don't overlap. A ``novel`` span is a string of letters and
     digits shortly after a sensitive word that takes at least ``novelty`` compressed bytes for each of
-    its own, given the text around and common identifiers. The work is one pass: no shuffle.
+    its own, given the text around and common identifiers, or a further line of such a value. The work is one pass: no shuffle.
 
     Null and empty texts have no spans. Rows with equal texts get equal results.
     """

@@ -168,6 +168,16 @@ def test_novel_strings_in_sensitive_places(documents):
     assert [spans[k] for k in (2, 3, 4, 5)] == [""] * 4
 
 
+def test_every_line_of_a_private_key_is_reported():
+    dice = random.Random(11)
+    lines = ["".join(dice.choices(string.ascii_letters + string.digits + "+/", k=k)) for k in (64, 64, 64, 64, 64, 64, 9)]
+    for between in ("\n", "\r\n", "\n    ", '" +\n    "'):
+        text = f"text before{between}-----BEGIN RSA PRIVATE KEY-----{between}{between.join(lines)}={between}-----END RSA PRIVATE KEY-----{between}after it"
+        found = [text[s:e] for s, _, e in secrets.novel_spans(text, [], 0.75)]
+        assert found == [*lines[:-1], lines[-1] + "="]
+    assert secrets.novel_spans(f"the words{chr(10)}{chr(10).join(lines)}", [], 0.75) == []
+
+
 def test_secrets_odd_rows(odd, none):
     found = secrets.find_secrets(odd)
     assert found.count() == odd.count() and found.where("spans <> ''").count() == 0
