@@ -205,6 +205,15 @@ def test_repeated_passages_against_plain_code(documents):
     assert found[104]["class_id"] == 79 and found[104]["spans"][0]["end"] == len(re.findall(r"\w+", pairs[79][1]))
 
 
+def test_copies_that_share_a_passage_with_others_are_passages_from_end_to_end(documents):
+    words_of = lambda c, n: [f"{c}{k}" for k in range(n)]
+    copied = " ".join(words_of("a", 100) + words_of("licence", 60) + words_of("b", 40))
+    other = " ".join(words_of("c", 30) + words_of("licence", 60))
+    found = {r["doc_id"]: r for r in repeated_passages(documents([(1, copied), (2, copied), (3, other)])).collect()}
+    spans = {k: [(s["start"], s["end"]) for s in r["spans"]] for k, r in found.items()}
+    assert spans == {1: [(0, 200)], 2: [(0, 200)], 3: [(30, 90)]}
+
+
 def test_repeated_passages_odd_rows(odd, none):
     found = repeated_passages(odd)
     assert {r["doc_id"] for r in found.collect()} == {None, 4, 5, 10}
