@@ -57,3 +57,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str = "rows") -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read again.
+
+    For loops: the plan starts anew from files of known size. A checkpoint keeps the size that the
+    optimizer had estimated, a product of the sizes joined, which a few rounds of joins make a number too long to compute with.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
