@@ -72,8 +72,49 @@ SELECT c.page_id, coalesce(c.host, '') AS host, coalesce(c.path, '') AS path, f.
 FROM parts c LEFT JOIN fit f USING (page_id)
 """
 
+#: CRC-32 of a decimal number, byte by byte and bit by bit.
+_CRC = """
+xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+  flatten(list_transform(range(1, length(c::VARCHAR) + 1), lambda k:
+    list_concat([ascii(substr(c::VARCHAR, k, 1))::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+  lambda s, v: CASE WHEN v >= 0 THEN xor(s, v) WHEN s % 2 = 1 THEN xor(s // 2, 3988292384) ELSE s // 2 END))
+"""
+
+PREFIX_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, {_CRC} % 9 AS h FROM (SELECT DISTINCT c FROM turns)),
+rebuilt AS (
+  SELECT k.c, 0 AS part, t.p, t.r, t.x FROM convs k JOIN turns t ON t.c = k.c - k.c % 5 AND t.p <= k.h
+  UNION ALL SELECT t.c, 1, t.p, t.r, t.x FROM turns t JOIN convs k ON t.c = k.c AND t.p > k.h),
+steps AS (
+  SELECT c, row_number() OVER w AS d, strlen(x) AS b,
+    string_agg(length(r) || ':' || length(x) || ':' || r || x, '') OVER w AS k
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY part, p)
+  UNION ALL SELECT c, 0, 0, '' FROM convs),
+ends AS (SELECT c, max(d) AS turns FROM steps GROUP BY c),
+nodes AS (
+  SELECT s.k, s.d, min(s.c) AS c, max(s.b) AS b, count(*) AS n,
+    sha256(coalesce(string_agg(s.c::VARCHAR, ',' ORDER BY s.c) FILTER (WHERE s.d = e.turns), '')) AS ends_sha256
+  FROM steps s JOIN ends e USING (c) GROUP BY s.k, s.d),
+linked AS (
+  SELECT n.*, u.k AS parent, pn.c AS parent_conv_id
+  FROM nodes n LEFT JOIN steps u ON u.c = n.c AND u.d = n.d - 1 LEFT JOIN nodes pn ON pn.k = u.k),
+children AS (SELECT parent AS k, count(*) AS n_children FROM linked WHERE parent IS NOT NULL GROUP BY parent),
+totals AS (
+  SELECT s.k, count(*) FILTER (WHERE h.n_children IS NULL) AS n_leaves, sum((n.n - 1) * n.b) AS saved_tokens
+  FROM nodes n LEFT JOIN children h ON h.k = n.k JOIN steps s ON s.c = n.c AND s.d <= n.d GROUP BY s.k)
+SELECT l.c AS conv_id, l.d::BIGINT AS depth, l.parent_conv_id, l.n::BIGINT AS n_convs,
+  coalesce(h.n_children, 0)::BIGINT AS n_children, t.n_leaves::BIGINT AS n_leaves,
+  t.saved_tokens::BIGINT AS saved_tokens, l.ends_sha256
+FROM linked l JOIN totals t ON t.k = l.k LEFT JOIN children h ON h.k = l.k
+"""
+
 ORACLE = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_decontamination": DECONTAMINATION,
     "op8_url_filter": URL_FILTER,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

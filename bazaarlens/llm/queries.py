@@ -13,6 +13,7 @@ from bazaarlens.llm.decontamination import decontaminate
 from bazaarlens.llm.line_dedup import line_dedup
 from bazaarlens.llm.near_dedup import near_classes
 from bazaarlens.llm.packing import pack
+from bazaarlens.llm.prefix_trie import conversation_trie
 from bazaarlens.llm.quality_rules import BASE, TRAINING_ROWS, learn_rules, quality_rules
 from bazaarlens.llm.secrets import find_secrets
 from bazaarlens.llm.substring_dedup import repeated_passages
@@ -114,6 +115,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
@@ -125,4 +130,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
