@@ -18,6 +18,7 @@ from bazaarlens.llm.quality_rules import BASE, TRAINING_ROWS, learn_rules, quali
 from bazaarlens.llm.secrets import find_secrets
 from bazaarlens.llm.substring_dedup import repeated_passages
 from bazaarlens.llm.url_filter import url_filter
+from bazaarlens.llm.whitening import whiten
 
 #: Rules (host, path, verdict) of the url query.
 URL_RULES = [
@@ -115,6 +116,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -130,5 +135,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_prefix_trie": op13_prefix_trie,
 }
