@@ -99,7 +99,7 @@ def subtree_sums(nodes: DataFrame, paths: DataFrame, values: list[str], local: i
     is larger than ``local``.
     """
     sums = [f"{c}_sum" for c in values]
-    pieces = nodes.select("node", "parent", "depth", "path", "weight", *values, *[F.col(c).alias(s) for c, s in zip(values, sums)], F.lit(b"").alias("piece"))
+    pieces = nodes.select("node", "parent", "depth", "path", "weight", *values, *[F.col(c).alias(s) for c, s in zip(values, sums)], F.substring("node", 1, 0).alias("piece"))
     done: list[DataFrame] = []
     small: list[DataFrame] = []
     at = paths.select(F.col("path").alias("own_path"), F.col("depth").alias("own_depth"), F.col("node").alias("below"), F.col("parent").alias("under"))

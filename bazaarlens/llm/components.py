@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.session import cut_lineage
+from bazaarlens.session import written
 
 MOST_ROUNDS = 100
 
@@ -13,13 +13,13 @@ MOST_ROUNDS = 100
 def _towards_least(links: DataFrame) -> DataFrame:
     """Each node's larger neighbours are tied to the least of its neighbourhood."""
     both = links.select("a", "b").union(links.select("b", "a"))
-    least = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+    least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     return both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _up(links: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are tied to the least of them."""
-    least = cut_lineage(links.groupBy("a").agg(F.min("b").alias("m")))
+    least = written(links.groupBy("a").agg(F.min("b").alias("m")))
     tied = links.join(least, "a").where(F.col("b") > F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.union(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -39,12 +39,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     null end and links of a node to itself are left out.
     """
     links = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(F.col("a") > F.col("b")).distinct()
-    links = cut_lineage(links)
+    links = written(links)
     state = _state(links)
     for _ in range(MOST_ROUNDS):
         if not state[0]:
             break
-        links = cut_lineage(_up(_towards_least(links)))
+        links = written(_up(_towards_least(links)))
         before, state = state, _state(links)
         if before == state:
             break

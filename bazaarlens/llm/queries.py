@@ -12,6 +12,7 @@ from bazaarlens.llm import quality_classifier, toxicity
 from bazaarlens.llm.decontamination import decontaminate
 from bazaarlens.llm.line_dedup import line_dedup
 from bazaarlens.llm.near_dedup import near_classes
+from bazaarlens.llm.ngram_join import ngram_components
 from bazaarlens.llm.packing import pack
 from bazaarlens.llm.prefix_trie import conversation_trie
 from bazaarlens.llm.quality_rules import BASE, TRAINING_ROWS, learn_rules, quality_rules
@@ -116,6 +117,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
@@ -135,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op11_ngram_join": op11_ngram_join,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_prefix_trie": op13_prefix_trie,
 }

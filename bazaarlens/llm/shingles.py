@@ -46,13 +46,13 @@ def words(text: bytes | None) -> list[bytes]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def shingles(found: list[bytes]) -> np.ndarray:
-    """Digest of every run of five words; of all words if there are fewer; nothing if there are none."""
+def shingles(found: list[bytes], size: int = SIZE) -> np.ndarray:
+    """Digest of every run of ``size`` words; of all words if there are fewer; nothing if there are none."""
     n = len(found)
     if not n:
         return np.empty(0, np.uint64)
     own = np.fromiter(map(_DIGESTS.__getitem__, found), np.uint64, n)
-    size = min(SIZE, n)
+    size = min(size, n)
     out = own[: n - size + 1].copy()
     for k in range(1, size):
         out *= _STEP
