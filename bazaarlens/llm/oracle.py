@@ -72,6 +72,27 @@ SELECT c.page_id, coalesce(c.host, '') AS host, coalesce(c.path, '') AS path, f.
 FROM parts c LEFT JOIN fit f USING (page_id)
 """
 
+NGRAM_JOIN = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(1, len(w) - 3) + 1),
+    lambda k: array_to_string(w[k : k + 3], ' ')))) AS s
+  FROM doc WHERE len(w) > 0),
+one AS (SELECT min(doc_id) AS a, s, len(s) AS n FROM sets GROUP BY s),
+item AS (SELECT a, n, unnest(s) AS x FROM one),
+link AS (
+  SELECT p.a AS a, q.a AS b FROM item p JOIN item q ON p.x = q.x AND p.a <> q.a
+    AND 100 * least(p.n, q.n) >= 85 * greatest(p.n, q.n)
+  GROUP BY p.a, q.a, p.n, q.n HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))),
+reach AS (SELECT a, a AS b FROM one UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+component AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(o.n, 0)::BIGINT AS n_shingles, coalesce(c.least, d.doc_id) AS component_id
+FROM doc d LEFT JOIN sets s ON s.doc_id = d.doc_id LEFT JOIN one o ON o.s = s.s LEFT JOIN component c ON c.a = o.a
+"""
+
 #: CRC-32 of a decimal number, byte by byte and bit by bit.
 _CRC = """
 xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
@@ -116,5 +137,6 @@ ORACLE = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_decontamination": DECONTAMINATION,
     "op8_url_filter": URL_FILTER,
+    "op11_ngram_join": NGRAM_JOIN,
     "op13_prefix_trie": PREFIX_TRIE,
 }
