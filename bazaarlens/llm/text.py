@@ -49,7 +49,12 @@ def words(text: Column) -> Column:
 
 def row_key(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """With ``KEY``: a digest of id and text. Rows alike in both share it, and get the same results."""
-    own = F.concat_ws(":", F.coalesce(F.col(id_column).cast("string"), F.lit("-")), F.coalesce(F.col(text_column), F.lit("-")))
+    number = F.col(id_column).cast("string")
+    # The id's length and a sign before the text keep apart what would read alike when joined.
+    own = F.concat(
+        F.coalesce(F.concat(F.octet_length(number).cast("string"), F.lit(":"), number), F.lit("-")),
+        F.coalesce(F.concat(F.lit("+"), F.col(text_column)), F.lit("-")),
+    )
     return df.withColumn(KEY, F.unhex(F.md5(own.cast("binary"))))
 
 
