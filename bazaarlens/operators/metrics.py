@@ -179,9 +179,9 @@ def customer_metrics(
 ) -> DataFrame:
     """Active, new and returning customers and the repeat rate, for any grouping and filter.
 
-    A customer is new in a group if the first delivered order of all, whatever the grouping and
-    filters, is not before the group's period. The period begins with the first day of the calendar that
-    the group and the date filters leave; where no date attribute takes part it is all time, and
+    A customer is new in a group if the day of the first delivered order of all, whatever the grouping and
+    filters, is one of the group's days: those of the calendar that the group and the date filters
+    leave, gaps and all. Where no date attribute takes part these are all days, and
     all customers are new. First days are a minimum per customer; each group sees a customer once.
     """
     dims = dims or {}
@@ -193,24 +193,23 @@ def customer_metrics(
     kept = fact.filter(F.col(_DONE))
     for attribute, values in (slicers or {}).items():
         kept = _slice(kept, attribute, values, dims.get(attribute))
-    active = kept.groupBy("customer_id", *[c for c in by if c not in dims], *dict.fromkeys(k for k, _, _ in _lookups(by, dims))).agg(
-        F.min("date_key").alias("_day")
-    )
+    active = kept.select("customer_id", *[c for c in by if c not in dims], *dict.fromkeys(k for k, _, _ in _lookups(by, dims))).distinct()
     for key, table, attributes in _lookups(by, dims):
         active = active.join(table.select(key, *attributes), key, "left")
-    customers = active.groupBy("customer_id", *by).agg(F.min("_day").alias("_day")).join(first, "customer_id")
+    customers = active.select("customer_id", *by).distinct().join(first, "customer_id")
     if calendar:
         days = dims[calendar[0]].table
         for attribute, values in (slicers or {}).items():
             if attribute in calendar:
                 days = days.filter(F.col(attribute).isin(list(values)))
-        starts = days.groupBy(*dated).agg(F.min("date_key").alias("_start"))
+        chosen = days.select(F.col("date_key").alias("_first_day"), *[F.col(a).alias(f"_{a}") for a in dated], F.lit(True).alias("_new"))
+        same = F.col("customer._first_day") == F.col("chosen._first_day")
+        for attribute in dated:
+            same &= F.col(f"customer.{attribute}").eqNullSafe(F.col(f"chosen._{attribute}"))
+        placed = customers.alias("customer").join(chosen.alias("chosen"), same, "left").select("customer.*", "_new")
     else:
-        starts = first.agg(F.min("_first_day").alias("_start"))
-    placed = customers.join(starts, dated, "left") if dated else customers.withColumn("_start", starts.scalar())
-    counts = placed.groupBy(*by).agg(
-        F.count("*").alias(ACTIVE_CUSTOMERS), count_where(F.col("_first_day") >= F.col("_start")).alias("new_customers")
-    )
+        placed = customers.withColumn("_new", F.lit(True))
+    counts = placed.groupBy(*by).agg(F.count("*").alias(ACTIVE_CUSTOMERS), count_where(F.col("_new")).alias("new_customers"))
     back = F.col(ACTIVE_CUSTOMERS) - F.col("new_customers")
     return counts.select(
         *by,

@@ -93,6 +93,97 @@ def global_ntile(
     return placed.select(*df.columns, (bucket + 1).cast("int").alias(name))
 
 
+#: Bins of one search range; a range of 2**64 values needs five rounds of them.
+_BINS = 1 << 14
+
+
+def _selected(
+    df: DataFrame, columns: Sequence[Column], places: Sequence[Sequence[int]], ends: Sequence[tuple[int, int]]
+) -> list[list[tuple[int, int]]]:
+    """For each of the whole-number ``columns``, with their least and greatest value, the value at every given place (from 1) of its
+    ascending order, and the place among the rows of that value.
+
+    Each round counts rows per bin of the ranges that are still open, those of all columns and places in one pass, and narrows every
+    range to the bin that holds its place. The driver gets some ten thousand counts a range and round; rows are never moved. Nulls are left out.
+    """
+    # (column, place) -> range that holds the value, and the rank left inside it
+    ranges = {(i, p): (*ends[i], p) for i, own in enumerate(places) for p in own}
+    while wide := sorted({(i, low, high) for (i, _), (low, high, _) in ranges.items() if low < high}):
+        marks = []
+        for k, (i, low, high) in enumerate(wide):
+            step = -(-(high - low + 1) // _BINS)
+            at = F.call_function("div", columns[i] - F.lit(low), F.lit(step))
+            marks.append(F.struct(F.lit(k).alias("k"), F.when(columns[i].between(low, high), at).alias("bin")))
+        binned = df.select(F.inline(F.array(*marks))).filter("bin is not null").groupBy("k", "bin").agg(F.count("*").alias("n"))
+        counts: dict[int, list[tuple[int, int]]] = {}
+        for row in sorted(binned.collect()):
+            counts.setdefault(row["k"], []).append((row["bin"], row["n"]))
+        narrowed = {}
+        for (i, p), (low, high, left) in ranges.items():
+            if low < high:
+                step = -(-(high - low + 1) // _BINS)
+                for found, n in counts[wide.index((i, low, high))]:
+                    if left <= n:
+                        break
+                    left -= n
+                low, high = low + found * step, min(high, low + (found + 1) * step - 1)
+            narrowed[i, p] = (low, high, left)
+        ranges = narrowed
+    return [[(ranges[i, p][0], ranges[i, p][2]) for p in own] for i, own in enumerate(places)]
+
+
+def ntiles_by_bounds(
+    df: DataFrame, buckets: int, axes: Sequence[tuple[str, str, bool]], key: str, rows: int, task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """``NTILE(buckets)`` by each of several whole numbers, ties by a unique whole-number key, where NULLs rank worst.
+
+    ``axes`` are (column, name of the result, descending); nulls come last, in descending order first. Many rows are not
+    sorted: the last (number, key) pair of each bucket is found by counting (``_selected``), first its number, then its key among
+    the rows of that number, and a row's bucket is the number of such pairs before it.
+    """
+    if rows <= task_rows:
+        for axis, name, descending in axes:
+            order = [F.desc_nulls_first(axis) if descending else F.asc_nulls_last(axis), F.asc(key)]
+            df = df.withColumn(name, F.ntile(buckets).over(Window.orderBy(*order)))
+        return df
+    size, surplus = divmod(rows, buckets)
+    last = [k * size + min(k, surplus) for k in range(1, buckets)]
+    last = [p for p in last if p]
+    values = [-F.col(axis).cast("bigint") if descending else F.col(axis).cast("bigint") for axis, _, descending in axes]
+    ends = df.agg(
+        F.min(key).alias("low"), F.max(key).alias("high"),
+        *[f(c).alias(f"{n}{i}") for i, c in enumerate(values) for n, f in (("n", F.count), ("low", F.min), ("high", F.max))],
+    ).first()
+    filled = {axis: ends[f"n{i}"] for i, (axis, _, _) in enumerate(axes)}
+    places = []
+    for axis, _, descending in axes:
+        # Nulls are the first ``nulls`` rows of a descending order and the last ones of an ascending one.
+        nulls = rows - filled[axis]
+        places.append([p - nulls for p in last if p > nulls] if descending else [p for p in last if p <= filled[axis]])
+    found = _selected(df, values, places, [(ends[f"low{i}"], ends[f"high{i}"]) for i in range(len(values))])
+    bounds = [[value for value, _ in own] for own in found]
+    # Among the rows of a bound's number (or among the nulls): the key at the place that is left.
+    conditions, at = [v == b for v, own in zip(values, bounds) for b in own], [left for own in found for _, left in own]
+    n_tied = len(conditions)
+    for axis, _, descending in axes:
+        rest = [p for p in last if p <= rows - filled[axis]] if descending else [p - filled[axis] for p in last if p > filled[axis]]
+        conditions += [F.col(axis).isNull()] * len(rest)
+        at += rest
+    tied = [F.when(c, F.col(key).cast("bigint")) for c in conditions]
+    keys = [own[0][0] for own in _selected(df, tied, [[p] for p in at], [(ends["low"], ends["high"])] * len(tied))]
+    own_keys, null_keys = iter(keys[:n_tied]), iter(keys[n_tied:])
+    for (axis, name, descending), value, own in zip(axes, values, bounds):
+        score, nulls = F.lit(1), rows - filled[axis]
+        for b in own:
+            after = (value > b) | ((value == b) & (F.col(key) > next(own_keys)))
+            score = score + F.coalesce(after, F.lit(not descending)).cast("int")
+        for _ in range(sum(p <= nulls for p in last) if descending else sum(p > filled[axis] for p in last)):
+            after = F.col(axis).isNull() & (F.col(key) > next(null_keys))
+            score = score + ((after | F.col(axis).isNotNull()) if descending else after).cast("int")
+        df = df.withColumn(name, score)
+    return df
+
+
 def ntile_by_bounds(
     df: DataFrame,
     buckets: int,
@@ -103,32 +194,8 @@ def ntile_by_bounds(
     descending: bool = False,
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
-    """``NTILE(buckets)`` by one number and a unique key, where NULLs rank worst (ascending: last, descending: first).
-
-    Many rows are not moved as they are: only (number, key) is cut into slices to find
-    the last pair of each bucket, and a row's bucket is the number of such pairs before it.
-    """
-    order = [F.desc_nulls_first(axis) if descending else F.asc_nulls_last(axis), F.asc(key)]
-    if rows <= task_rows:
-        return df.withColumn(name, F.ntile(buckets).over(Window.orderBy(*order)))
-    size, surplus = divmod(rows, buckets)
-    last = [k * size + min(k, surplus) for k in range(1, buckets)]
-    placed = global_row_number(df.select(axis, key), order, "_position", rows, task_rows)
-    bounds = placed.filter(F.col("_position").isin(last)).collect()  # one row per bucket
-    value, place = F.col(axis), F.col(key)
-
-    def after(bound) -> Column:
-        if bound[axis] is None:
-            tied = value.isNull() & (place > bound[key])
-            return tied | value.isNotNull() if descending else tied
-        tied = (value == bound[axis]) & (place > bound[key])
-        beyond = value < bound[axis] if descending else value > bound[axis]
-        return F.coalesce(beyond | tied, F.lit(not descending))
-
-    score = F.lit(1)
-    for bound in bounds:
-        score = score + after(bound).cast("int")
-    return df.withColumn(name, score)
+    """``ntiles_by_bounds`` for one axis."""
+    return ntiles_by_bounds(df, buckets, [(axis, name, descending)], key, rows, task_rows)
 
 
 def rank_by_value(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.numeric import average_money, cents, mean, money
 from bazaarlens.operators.aggregates import delivered, per_key
-from bazaarlens.operators.ranking import TASK_ROWS, ntile_by_bounds
+from bazaarlens.operators.ranking import TASK_ROWS, ntiles_by_bounds
 from bazaarlens.plans.revenue import share_of_all
 from bazaarlens.session import cut_lineage
 
@@ -54,9 +54,8 @@ def rfm_scored(orders: DataFrame, buckets: int = QUANTILES, task_rows: int = TAS
     rows, latest = base.agg(F.count("*"), F.max("last_day")).first()
     recency = F.datediff(F.lit(latest).cast("date"), "last_day").alias("recency_days")
     scored = base.select("customer_id", recency, "frequency", "cents")
-    for axis, name in (("recency_days", "r"), ("frequency", "f"), ("cents", "m")):
-        scored = ntile_by_bounds(scored, buckets, axis, "customer_id", name, rows, axis == "recency_days", task_rows)
-    return scored
+    axes = [("recency_days", "r", True), ("frequency", "f", False), ("cents", "m", False)]
+    return ntiles_by_bounds(scored, buckets, axes, "customer_id", rows, task_rows)
 
 
 def rfm_scores(orders: DataFrame, **options: int) -> DataFrame:

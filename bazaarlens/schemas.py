@@ -12,6 +12,7 @@ def _table(*columns: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in columns])
 
 
+# Tables, columns and types; fixed values of the data model.
 TABLES: dict[str, T.StructType] = {
     "customers": _table(
         ("customer_id", T.LongType()),
@@ -70,6 +71,7 @@ TABLES: dict[str, T.StructType] = {
     ),
 }
 
+# Keys; fixed values of the data model.
 PRIMARY_KEYS = {
     "customers": "customer_id",
     "restaurants": "restaurant_id",
@@ -80,7 +82,7 @@ PRIMARY_KEYS = {
     "reviews": "review_id",
 }
 
-# (child table, child column, parent table, parent column)
+# (child table, child column, parent table, parent column); fixed values of the data model.
 FOREIGN_KEYS = [
     ("menu_items", "restaurant_id", "restaurants", "restaurant_id"),
     ("orders", "customer_id", "customers", "customer_id"),
@@ -91,6 +93,7 @@ FOREIGN_KEYS = [
     ("reviews", "order_id", "orders", "order_id"),
 ]
 
+# Columns that may not be empty; fixed values of the data model.
 REQUIRED = {
     "customers": ["customer_id", "name"],
     "restaurants": ["restaurant_id", "name"],
@@ -109,7 +112,7 @@ DOMAINS = {
     ("orders", "payment_method"): ["card", "upi", "wallet", "cash", "netbanking"],
 }
 
-# Inclusive numeric limits, ``None`` for an open end.
+# Inclusive numeric limits, ``None`` for an open end; fixed values of the data model.
 RANGES = {
     ("restaurants", "avg_rating"): (0, 5),
     ("menu_items", "price"): (0, None),

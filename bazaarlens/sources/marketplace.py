@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlens.schemas import TABLES
+from bazaarlens.sources.snapshots import current, table_path
 
 
 @dataclass(frozen=True)
@@ -23,10 +24,16 @@ class Marketplace:
         return [(name, getattr(self, name)) for name in TABLES]
 
 
-def read_marketplace(spark: SparkSession, folder: str) -> Marketplace:
-    """Typed tables written by :func:`bazaarlens.sources.sinks.refresh`."""
+def read_marketplace(spark: SparkSession, folder: str, version: str | None = None) -> Marketplace:
+    """Typed tables written by :func:`bazaarlens.sources.sinks.refresh`: all of the current version, or of the one named.
+
+    A folder without versions has its tables in it as they are.
+    """
+    if version is None:
+        found = current(spark, folder)
+        version = found["version"] if found else None
     return Marketplace(
-        **{name: spark.read.schema(schema).parquet(f"{folder}/{name}") for name, schema in TABLES.items()}
+        **{name: spark.read.schema(schema).parquet(table_path(folder, name, version)) for name, schema in TABLES.items()}
     )
 
 

@@ -2,58 +2,40 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from bazaarlens.functions.dates import month_of
 from bazaarlens.operators import cleaning
 from bazaarlens.sources.marketplace import Marketplace
+from bazaarlens.sources.snapshots import Snapshot
 
 
-def _swap(spark: SparkSession, new: str, folder: str, names: list[str]) -> None:
-    """Put the tables below ``new`` in the place of those in ``folder``."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = path(new).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for name in names:
-        files.delete(path(f"{folder}/{name}"), True)
-        if not files.rename(path(f"{new}/{name}"), path(f"{folder}/{name}")):
-            raise OSError(f"could not move {new}/{name} to {folder}/{name}")
-    files.delete(path(new), True)
-
-
-def refresh(market: Marketplace, folder: str) -> None:
-    """Replace every typed table with the given contents.
+def refresh(market: Marketplace, folder: str) -> str:
+    """Replace every typed table with the given contents; the name of the new version.
 
-    All tables are written beside the old ones first, so the contents may be read from
-    ``folder`` itself, and a failure leaves the old tables as they were.
+    All tables become a new version beside the old one, which the contents may be read from, and which
+    readers see until the last step. So a failure at any point leaves one whole version.
     """
-    new, names = f"{folder}/.new-{uuid.uuid4().hex}", []
+    snapshot = Snapshot(market.orders.sparkSession, folder)
     for name, df in market.items():
-        df.write.parquet(f"{new}/{name}")
-        names.append(name)
-    _swap(df.sparkSession, new, folder, names)
+        snapshot.put(name, df)
+    return snapshot.commit()
 
 
-def refresh_from_text(raw: dict[str, DataFrame], folder: str) -> None:
-    """Clean the raw tables and replace the typed ones, parents first.
+def refresh_from_text(raw: dict[str, DataFrame], folder: str) -> str:
+    """Clean the raw tables and replace the typed ones, parents first; the name of the new version.
 
     Children are checked against the parents as written, so each raw table is parsed once.
     """
-    spark, new = raw["orders"].sparkSession, f"{folder}/.new-{uuid.uuid4().hex}"
-
-    def put(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{new}/{name}")
-        return spark.read.parquet(f"{new}/{name}")
-
-    customers = put("customers", cleaning.clean_customers(raw["customers"]))
-    restaurants = put("restaurants", cleaning.clean_restaurants(raw["restaurants"]))
-    put("menu_items", cleaning.clean_menu_items(raw["menu_items"]))
-    put("riders", cleaning.clean_riders(raw["riders"]))
-    orders = put("orders", cleaning.clean_orders(raw["orders"], customers, restaurants))
-    put("order_items", cleaning.clean_order_items(raw["order_items"], orders))
-    put("reviews", cleaning.clean_reviews(raw["reviews"], orders))
-    _swap(spark, new, folder, list(raw))
+    snapshot = Snapshot(raw["orders"].sparkSession, folder)
+    customers = snapshot.put("customers", cleaning.clean_customers(raw["customers"]))
+    restaurants = snapshot.put("restaurants", cleaning.clean_restaurants(raw["restaurants"]))
+    snapshot.put("menu_items", cleaning.clean_menu_items(raw["menu_items"]))
+    snapshot.put("riders", cleaning.clean_riders(raw["riders"]))
+    orders = snapshot.put("orders", cleaning.clean_orders(raw["orders"], customers, restaurants))
+    snapshot.put("order_items", cleaning.clean_order_items(raw["order_items"], orders))
+    snapshot.put("reviews", cleaning.clean_reviews(raw["reviews"], orders))
+    return snapshot.commit()
 
 
 def write_marts(star: dict[str, DataFrame], folder: str) -> None:

@@ -6,6 +6,7 @@ from oracle.fixture import big, money, pct, ratio, with_tables
 
 _ORDERS_BY = "count(*) AS n, sum(cents) AS cents"
 
+# Segments, fixed values: the first rule that fits decides.
 _RFM_LABEL = """CASE
     WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'Champions'
     WHEN r >= 4 AND f >= 3 THEN 'Loyal'
@@ -457,6 +458,22 @@ _BODIES: dict[str, str] = {
         JOIN (SELECT customer_id, min(day) AS first_day FROM m_done GROUP BY customer_id) USING (customer_id),
              (SELECT min(date_key) AS start FROM m_dates WHERE year(date_key) IN (1997, 1998))
         GROUP BY city""",
+    "metrics_new_returning_by_city_apart": f"""
+        SELECT city, count(*) AS active_customers, count(*) FILTER (WHERE year(first_day) IN (1997, 1999)) AS new_customers,
+               count(*) FILTER (WHERE year(first_day) NOT IN (1997, 1999)) AS returning_customers,
+               {ratio("count(*) FILTER (WHERE year(first_day) NOT IN (1997, 1999))", "count(*)", 6)} AS repeat_rate
+        FROM (SELECT DISTINCT city, customer_id FROM m_done JOIN m_restaurants USING (restaurant_id)
+              WHERE year(day) IN (1997, 1999))
+        JOIN (SELECT customer_id, min(day) AS first_day FROM m_done GROUP BY customer_id) USING (customer_id)
+        GROUP BY city""",
+    "refreshed_row_counts": """
+        SELECT 'customers' AS table_name, count(*) AS row_count FROM m_customers
+        UNION ALL SELECT 'restaurants', count(*) FROM m_restaurants
+        UNION ALL SELECT 'menu_items', count(*) FROM m_menu_items
+        UNION ALL SELECT 'riders', count(*) FROM m_riders
+        UNION ALL SELECT 'orders', count(*) FROM m_orders WHERE status = 'delivered'
+        UNION ALL SELECT 'order_items', count(*) FROM m_items
+        UNION ALL SELECT 'reviews', count(*) FROM m_reviews""",
     "metrics_reviews_by_cuisine": f"""
         SELECT cuisine_type, {ratio("sum(rating)", "count(rating)", 6)} AS avg_rating, count(rating) AS review_count
         FROM m_reviews JOIN m_orders USING (order_id) JOIN m_restaurants USING (restaurant_id) GROUP BY 1""",

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from bazaarlens.operators import cleaning, quality
 from bazaarlens.schemas import TABLES, as_text
@@ -135,3 +136,15 @@ def test_dates_that_fit_no_pattern_are_counted(spark, fixtures):
     raw["riders"] = spark.createDataFrame(texts, "rider_id string, join_date string")
     found = {r["table_name"]: (r["date_texts"], r["unparsed"]) for r in quality.unparsed_dates(raw).collect()}
     assert found["riders"] == (3, 2) and found["reviews"][1] == 0
+
+
+def test_audit_with_repeated_and_far_keys(spark, make, market):
+    """Repeated keys, ids below zero and far apart, and orphans among them."""
+    far = 2**62
+    customers = make("customers", [(k, "n", None, None, None) for k in (1, 1, 1, -5, 0, far, far)])
+    orders = market.orders.limit(5).withColumn("customer_id", F.expr(f"element_at(array(1L, -5L, 0L, {far}L, -{far}L), cast(order_id AS int))"))
+    found = {(t, r): n for t, r, n in rows(quality.constraint_audit({"customers": customers, "orders": orders}))}
+    assert found["customers", "customer_id unique"] == 3
+    assert found["orders", "customer_id in customers"] == 1
+    assert found["orders", "order_id unique"] == 0 and ("orders", "rider_id in riders") not in found
+    assert set({(t, r): n for t, r, n in rows(quality.constraint_audit({"customers": customers.limit(0)}))}.values()) == {0}

@@ -7,6 +7,7 @@ from bazaarlens.operators.ranking import (
     global_ntile,
     global_row_number,
     ntile_by_bounds,
+    ntiles_by_bounds,
     rank_by_value,
     sequence_in_group,
     top_per_group,
@@ -109,3 +110,21 @@ def test_ntile_by_bounds_at_the_limit(spark, rows, descending):
     for limit in (rows - 1, 1):
         sliced = ntile_by_bounds(df, 5, "v", "id", "q", rows, descending, task_rows=limit)
         assert sorted(sliced.collect(), key=repr) == sorted(plain.collect(), key=repr)
+
+
+@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize("buckets", [1, 5, 12])
+def test_selected_bounds_of_many_kinds(spark, buckets, descending):
+    """Wide ranges, negative numbers, one value for a third of the rows, nulls for many or all."""
+    df = spark.range(0, 600, 1, 5).selectExpr(
+        "id * 7919 % 600 AS id",
+        "CASE WHEN id % 3 = 0 THEN 5 ELSE id * 104729 * 1000003 - 20000000000 END AS wide",
+        "CASE WHEN id % 4 <> 0 THEN cast(id % 7 AS int) - 3 END AS few",
+        "cast(NULL AS bigint) AS none",
+        "cast(1 AS bigint) AS same",
+    )
+    axes = [(c, f"{c}_q", descending) for c in ("wide", "few", "none", "same")]
+    plain = ntiles_by_bounds(df, buckets, axes, "id", 600, task_rows=600)
+    found = ntiles_by_bounds(df, buckets, axes, "id", 600, task_rows=0)
+    assert same(found, plain)
+    assert "Exchange rangepartitioning" not in found._jdf.queryExecution().executedPlan().toString()

@@ -176,3 +176,16 @@ def test_churn_and_rfm_read_orders_once(spark, fixtures):
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         assert plan.count("FileScan") <= 1
+
+
+def test_new_customers_of_years_apart(spark):
+    """First seen in the year between two chosen ones is returning, in either."""
+    days = [(1, "1997-05-01"), (1, "1999-05-01"), (2, "1998-06-01"), (2, "1999-06-01"), (3, "1999-07-01"), (4, "1998-01-01")]
+    fact = spark.createDataFrame(days, "customer_id bigint, day string").selectExpr(
+        "customer_id", "cast(day AS date) AS date_key", "true AS is_delivered"
+    )
+    dates = spark.sql("SELECT explode(sequence(DATE '1997-01-01', DATE '1999-12-31')) AS date_key").withColumn("year", F.year("date_key"))
+    dims = {"year": Dimension(dates, "date_key")}
+    assert tuple(customer_metrics(fact, [], dims, {"year": [1997, 1999]}).first())[:3] == (3, 2, 1)
+    by_year = customer_metrics(fact, ["year"], dims, {"year": [1997, 1999]})
+    assert sorted(tuple(r)[:4] for r in by_year.collect()) == [(1997, 1, 1, 0), (1999, 3, 1, 2)]
