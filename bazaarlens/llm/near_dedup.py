@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.components import components
+from bazaarlens.llm.ngram_join import all_links, bounded, links_of, meeting, overlaps, references_of, shared_tokens
 from bazaarlens.llm.shingles import in_pieces, in_tasks, mixed, shingles, words
 from bazaarlens.llm.text import KEY, row_key, without
-from bazaarlens.session import cut_lineage
+from bazaarlens.session import written
 
 SIMILARITY = 0.8
 BANDS, ROWS = 9, 3
@@ -23,8 +24,10 @@ CELLS = 1 << 18
 DRAWS = 1 << 16
 #: Row keys of 16 bytes: up to so many are sent to every executor, more are shuffled.
 BROADCAST_ROWS = 300_000
-#: Texts, and bytes of texts, of a block: those of a bucket are compared block by block.
-BLOCK, BLOCK_BYTES = 256, 1 << 22
+#: Texts that meet one hub in a task.
+BLOCK = 256
+#: Similarities are sums of fractions: what is short of the limit by rounding alone counts.
+SLACK = 1e-9
 
 
 def _cells(found: np.ndarray) -> np.ndarray:
@@ -109,163 +112,106 @@ def _sketch(idf: np.ndarray):
             split = [words(text) for text in texts]
             some = [k for k, w in enumerate(split) if w]
             digests: list[bytes | None] = [None] * len(texts)
-            bands = np.zeros((len(texts), BANDS), np.uint64)
+            bands, whole = np.zeros((len(texts), BANDS), np.uint64), np.zeros(len(texts))
             if some:
                 pairs = []
                 for k in some:
                     digests[k] = hashlib.md5(b" ".join(split[k])).digest()
                     found, times = np.unique(shingles(split[k]), return_counts=True)
                     pairs.append((found, times.astype(np.float32) * idf[_cells(found)]))
+                    whole[k] = pairs[-1][1].sum(dtype=np.float64)
                 lengths = np.array([len(found) for found, _ in pairs])
                 starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
                 flat = [np.concatenate(x) for x in zip(*pairs)]
                 bands[some] = _banded(sample(*flat, starts, lengths))
             columns = [batch.column(KEY), batch.column("id"), pa.array(digests, pa.binary())]
-            columns.append(pa.array([len(text or b"") for text in texts], pa.int64()))
+            columns.append(pa.array(whole))
             columns += [pa.array(bands[:, k].copy().view(np.int64)) for k in range(BANDS)]
-            yield pa.RecordBatch.from_arrays(columns, names=[KEY, "id", "node", "size", *(f"b{k}" for k in range(BANDS))])
+            yield pa.RecordBatch.from_arrays(columns, names=[KEY, "id", "node", "weight", *(f"b{k}" for k in range(BANDS))])
 
     return run
 
 
-def _similar(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray], least: float) -> bool:
+def _shared(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> float:
+    """Weight that two texts have in common."""
     (fa, wa), (fb, wb) = one, two
     _, at, bt = np.intersect1d(fa, fb, assume_unique=True, return_indices=True)
-    shared = float(np.minimum(wa[at], wb[bt]).sum(dtype=np.float64))
-    whole = float(wa.sum(dtype=np.float64)) + float(wb.sum(dtype=np.float64)) - shared
-    return shared >= least * whole
+    return float(np.minimum(wa[at], wb[bt]).sum(dtype=np.float64))
 
 
-def _similarity(idf: np.ndarray, least: float):
+def _weighted_prefixes(idf: np.ndarray, least: float):
+    """token, node, size (weight of the text) and place (weight before the token) of the rarest shingles of each text.
+
+    Two texts that are similar enough share one of these: of what comes later each holds less than they must have in common.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_pieces(batches):
-            texts = zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist())
-            keep = [_similar(weighted(one, idf), weighted(two, idf), least) for one, two in texts]
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            nodes, tokens, sizes, places = [], [], [], []
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):
+                found, weights = weighted(text, idf)
+                order = np.lexsort((found, -idf[_cells(found)]))
+                found, weights = found[order], weights[order].astype(np.float64)
+                whole = float(weights.sum())
+                before = np.cumsum(weights) - weights
+                kept = int(np.searchsorted(before, whole * (1 - least), "right"))
+                nodes += [node] * kept
+                tokens.append(found[:kept])
+                sizes.append(np.full(kept, whole))
+                places.append(before[:kept])
+            flat = [np.concatenate(x) if x else np.empty(0) for x in (tokens, sizes, places)]
+            columns = [pa.array(flat[0].astype(np.uint64).view(np.int64)), pa.array(nodes, pa.binary()), pa.array(flat[1]), pa.array(flat[2])]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "size", "place"])
 
     return run
 
 
-def _links_of_blocks(members: list[dict], idf: np.ndarray, least: float) -> list[tuple[bytes, bytes]]:
-    """Links between members of two blocks of a bucket (of one, if all have one ``block``) that are in different classes.
-
-    A pair that agrees in a band before this one is compared, or was, in that band.
-    """
-    band, split = members[0]["band"], members[0]["i"] != members[0]["j"] or any(m["large"] for m in members)
-    texts = [weighted(m["text"], idf) for m in members]
-    lengths = np.array([len(found) for found, _ in texts])
-    starts = np.cumsum(lengths) - lengths
-    vocabulary, flat = np.unique(np.concatenate([found for found, _ in texts]), return_inverse=True)
-    weights = np.concatenate([w for _, w in texts])
-    sums = np.add.reduceat(weights.astype(np.float64), starts)
-    bands = np.array([m["bands"] for m in members], np.int64).reshape(len(members), -1)[:, :band]
-    names = {root: k for k, root in enumerate({m["root"] for m in members})}
-    classes = np.array([names[m["root"]] for m in members])
-    # The side that a member came for: those of one side are compared with the other's.
-    side = np.array([m["large"] or m["block"] != m["i"] for m in members])
-    dense, links = np.zeros(len(vocabulary), np.float32), []
-    for k in np.flatnonzero(~side):
-        others = (side if split else np.arange(len(members)) > k) & (classes != classes[k])
-        if band:
-            others &= ~(bands == bands[k]).any(axis=1)
-        others &= np.minimum(sums, sums[k]) >= (least - 1e-6) * np.maximum(sums, sums[k])
-        if not others.any():
-            continue
-        own = slice(starts[k], starts[k] + lengths[k])
-        dense[flat[own]] = weights[own]
-        shared = np.add.reduceat(np.minimum(dense[flat], weights).astype(np.float64), starts)
-        dense[flat[own]] = 0
-        for o in np.flatnonzero(others & (shared >= (least - 1e-6) * (sums + sums[k] - shared))):
-            if classes[o] != classes[k] and _similar(texts[k], texts[o], least):
-                links.append((members[k]["node"], members[o]["node"]))
-                classes[classes == classes[o]] = classes[k]
-    return links
-
-
-def _compared(idf: np.ndarray, least: float):
-    """Blocks come one after the other; what is held is those of one pair of blocks."""
+def _weighted_meetings(idf: np.ndarray):
+    """(a, b, shared): weight that each text ``a`` has in common with the hub ``b`` that its rows follow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def output(members: list[dict]) -> pa.RecordBatch:
-            links = _links_of_blocks(members, idf, least)
-            ends = [pa.array([min(x) for x in links], pa.binary()), pa.array([max(x) for x in links], pa.binary())]
-            return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
-
-        held: list[dict] = []
+        known = weighted(None, idf)
         for batch in in_pieces(batches):
-            for member in batch.to_pylist():
-                if held and any(held[0][c] != member[c] for c in ("band", "place", "i", "j", "of")):
-                    yield output(held)
-                    held = []
-                held.append(member)
-        if held:
-            yield output(held)
+            out: tuple[list, list, list] = [], [], []
+            rows = zip(*(batch.column(c).to_pylist() for c in ("b", "side", "a", "text")))
+            for hub, side, node, text in rows:
+                own = weighted(text, idf)
+                if side:
+                    for column, value in zip(out, (node, hub, _shared(own, known))):
+                        column.append(value)
+                else:
+                    known = own
+            columns = [pa.array(x, t) for x, t in zip(out, (pa.binary(), pa.binary(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "shared"])
 
     return run
 
 
-def _left_over(texts: DataFrame, joined: DataFrame, rows: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
-    """Links (a, b) between texts of a bucket (equal band) that are in different classes, by all their pairs.
+def _bodies(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """node and text of ``places`` (node, row)."""
+    few = places.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    texts = rows.select(F.col(KEY).alias("row"), F.col("text").cast("binary").alias("text"))
+    return texts.join(F.broadcast(places) if few else places, "row").dropDuplicates(["node"]).select("node", "text")
+
+
+def _classes(placed: DataFrame, compared: DataFrame, bodies: DataFrame, idf: np.ndarray, percent: float) -> DataFrame:
+    """(node, root) of the classes that links of ``compared`` make, and those between texts that meet in a band and are still in different classes.
 
-    Those of the class with most members in the bucket meet the rest, and the rest one another
-    too; within a class nothing is compared. Texts go to tasks in blocks, each pair of blocks by
-    itself, so no pair is a row and no bucket one task.
+    The latter enter the lists of their rarest shingles, by weight; texts of a loose family, which share what is
+    frequent only, do not meet there. Members of a list are compared with its hubs, in rounds, until
+    a list is of one class or all that weight and position allow has been compared. For a comparison a task gets one text,
+    and each hub's once for many.
     """
-    at, bands = ["band", "place"], [f"b{k}" for k in range(BANDS)]
-    classed = texts.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    places = F.explode(F.array(*[F.struct(F.lit(k).alias("band"), F.col(b).alias("place")) for k, b in enumerate(bands)]))
-    own = classed.select("node", "row", "size", "root", F.array(*bands).alias("bands"), places.alias("x"))
-    own = cut_lineage(own.select("x.band", "x.place", "node", "row", "size", "root", "bands"))
-    of_class = own.groupBy(*at, "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
-    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
-    buckets = cut_lineage(
-        of_class.groupBy(*at)
-        .agg(F.max(F.struct("n", "size", "root")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"))
-        .where(F.col("n") > F.col("most.n"))
-        .select(
-            *at,
-            F.col("most.root").alias("most"),
-            blocks(F.col("most.n"), F.col("most.size")).alias("n_most"),
-            blocks(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("n_rest"),
-        )
-    )
-    split = own.join(buckets, at).withColumn("large", F.col("root") == F.col("most"))
-    split = split.withColumn("block", F.pmod(F.xxhash64("node"), F.when(F.col("large"), F.col("n_most")).otherwise(F.col("n_rest"))).cast("int"))
-    # Pairs of blocks: (i, j) of the rest, i <= j, and (i of the rest, j of the largest class).
-    each = lambda n: F.sequence(F.lit(0), n - 1)
-    small = F.transform(
-        each(F.col("n_rest")),
-        lambda x: F.struct(F.least(x, "block").alias("i"), F.greatest(x, "block").alias("j"), F.lit(False).alias("of")),
-    )
-    with_large = F.transform(each(F.col("n_most")), lambda x: F.struct(F.col("block").alias("i"), x.alias("j"), F.lit(True).alias("of")))
-    large = F.transform(each(F.col("n_rest")), lambda x: F.struct(x.alias("i"), F.col("block").alias("j"), F.lit(True).alias("of")))
-    sent = split.withColumn("x", F.explode(F.when(F.col("large"), large).otherwise(F.concat(small, with_large))))
-    sent = cut_lineage(sent.select(*at, "x.i", "x.j", "x.of", "node", "row", "root", "bands", "large", "block"))
-    wanted = sent.select(F.col("row").alias(KEY)).distinct()
-    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    bodies = rows.select(KEY, F.col("text").cast("binary").alias("text")).join(F.broadcast(wanted) if few else wanted, KEY, "left_semi")
-    bodies = bodies.select(F.col(KEY).alias("row"), "text").dropDuplicates(["row"])
-    group = [*at, "i", "j", "of"]
-    ready = sent.join(bodies, "row").repartition(*group).sortWithinPartitions(*group)
-    return cut_lineage(in_tasks(ready, _compared(idf, least), "a binary, b binary").distinct())
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, rows: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose weighted Jaccard similarity is ``least`` or more."""
-    place = texts.select("node", "row")
-    placed = pairs.join(place.select(F.col("node").alias("a"), F.col("row").alias("row_a")), "a").join(
-        place.select(F.col("node").alias("b"), F.col("row").alias("row_b")), "b"
-    )
-    placed = cut_lineage(placed)
-    wanted = placed.select(F.explode(F.array("row_a", "row_b")).alias(KEY)).distinct()
-    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    bodies = rows.select(KEY, F.col("text").cast("binary").alias("text")).join(
-        F.broadcast(wanted) if few else wanted, KEY, "left_semi"
-    )
-    both = placed.join(bodies.select(F.col(KEY).alias("row_a"), F.col("text").alias("text_a")), "row_a").join(
-        bodies.select(F.col(KEY).alias("row_b"), F.col("text").alias("text_b")), "row_b"
-    )
-    return cut_lineage(in_tasks(both.select("a", "b", "text_a", "text_b"), _similarity(idf, least), "a binary, b binary").distinct())
+    links = written(links_of(compared, percent))
+    joined = written(components(links))
+    classed = placed.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = classed.groupBy("band", "place").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first <> last")
+    nodes = written(placed.join(written(mixed.select("band", "place")), ["band", "place"], "left_semi").select("node").distinct())
+    open_bodies = bodies.join(nodes, "node", "left_semi")
+    entries = written(in_tasks(open_bodies, _weighted_prefixes(idf, percent / 100), "token bigint, node binary, size double, place double"))
+    lists = written(meeting(written(bounded(entries.join(written(shared_tokens(entries)), "token", "left_semi"), percent))))
+    compare = lambda pairs: overlaps(pairs, bodies, _weighted_meetings(idf), "double", BLOCK)
+    return all_links(lists, links, compared.select("a", "b"), references_of(compared), compare, percent)
 
 
 def near_classes(
@@ -277,8 +223,8 @@ def near_classes(
     weighted by its count and by how few documents hold its hashed cell. Consistent
     weighted samples are banded; texts that meet in a band are tied to two of the
     band's texts, which differ from band to band. Of these ties the one that most bands
-    propose for a text is verified on the whole texts. Then all texts that meet in a band and are
-    still in different classes are compared, in blocks. Links inside a class
+    propose for a text is verified on the whole texts. Then texts that meet in a band and are
+    still in different classes are compared wherever they share a shingle among their rarest, as all similar ones do. Links inside a class
     cannot change it. Classes are the connected components; equal word
     sequences form one node from the start, so copies are never paired.
 
@@ -290,39 +236,39 @@ def near_classes(
     idf = inverse_frequencies(rows)
     kind = rows.schema["id"].dataType.simpleString()
     bands = [f"b{k}" for k in range(BANDS)]
-    schema = f"{KEY} binary, id {kind}, node binary, size bigint, " + ", ".join(f"{b} bigint" for b in bands)
-    sketched = cut_lineage(in_tasks(rows.select(KEY, "id", F.col("text").cast("binary").alias("text")), _sketch(idf), schema))
-    texts = cut_lineage(
-        sketched.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(KEY).alias("row"), F.max("size").alias("size"), *[F.first(b).alias(b) for b in bands])
+    schema = f"{KEY} binary, id {kind}, node binary, weight double, " + ", ".join(f"{b} bigint" for b in bands)
+    sketched = written(in_tasks(rows.select(KEY, "id", F.col("text").cast("binary").alias("text")), _sketch(idf), schema))
+    texts = written(
+        sketched.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(KEY).alias("row"), F.max("weight").alias("weight"), *[F.first(b).alias(b) for b in bands])
     )
-    placed = texts.select("node", F.explode(F.array(*[F.struct(F.lit(k).alias("band"), F.col(b).alias("place")) for k, b in enumerate(bands)])).alias("x"))
-    placed = placed.select("node", "x.band", "x.place")
+    placed = texts.select("node", "weight", F.explode(F.array(*[F.struct(F.lit(k).alias("band"), F.col(b).alias("place")) for k, b in enumerate(bands)])).alias("x"))
+    placed = placed.select("node", "weight", "x.band", "x.place")
     order = F.xxhash64("band", "node")
     # Sums by key are written before a join by that key: then it deals both sides anew and can split a hot one.
-    hubs = cut_lineage(
+    hubs = written(
         placed.groupBy("band", "place")
-        .agg(F.min(F.struct(order, "node")).alias("first"), F.max(F.struct(order, "node")).alias("last"))
-        .where(F.col("first") != F.col("last"))
-        .select("band", "place", F.explode(F.array("first.node", "last.node")).alias("hub"))
+        .agg(F.min(F.struct(order, "node", "weight")).alias("first"), F.max(F.struct(order, "node", "weight")).alias("last"))
+        .where(F.col("first.node") != F.col("last.node"))
+        .select("band", "place", F.explode(F.array("first", "last")).alias("hub"))
     )
-    pairs = cut_lineage(
+    # Copies are one text already; of the ties of a text the one that most bands propose is compared first.
+    proposals = written(
         placed.join(hubs, ["band", "place"])
-        .where(F.col("node") != F.col("hub"))
-        .groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        .agg(F.count_distinct("band").alias("n"))
+        .where(F.col("node") != F.col("hub.node"))
+        .groupBy(F.col("node").alias("a"), F.col("hub.node").alias("b"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("size_a"), F.max("hub.weight").alias("size_b"))
     )
-    ends = pairs.select(F.explode(F.array(F.struct("a", F.col("b").alias("o")), F.struct(F.col("b").alias("a"), F.col("a").alias("o")))).alias("x"), "n")
-    best = ends.groupBy("x.a").agg(F.max(F.struct("n", "x.o")).alias("best")).select("a", F.col("best.o").alias("o"))
-    first = best.select(F.least("a", "o").alias("a"), F.greatest("a", "o").alias("b")).distinct()
-    links = _verified(first, texts, rows, idf, similarity)
-    joined = components(links)
-    links = links.union(_left_over(texts, joined, rows, idf, similarity))
-    joined = components(links).withColumnRenamed("root", "class")
-    member = cut_lineage(
+    best = proposals.groupBy("a").agg(F.max(F.struct("n", "b", "size_a", "size_b")).alias("best")).select("a", "best.b", "best.size_a", "best.size_b")
+    best = written(best)
+    ends = best.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    bodies = written(_bodies(rows, written(texts.select("node", "row").join(ends, "node", "left_semi"))))
+    compared = written(overlaps(best, bodies, _weighted_meetings(idf), "double", BLOCK))
+    joined = _classes(placed, compared, bodies, idf, 100 * (similarity - SLACK)).withColumnRenamed("root", "class")
+    member = written(
         sketched.select(KEY, "id", "node").join(joined, "node", "left").withColumn("class", F.coalesce("class", "node"))
     )
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", KEY))
-    chosen = cut_lineage(
+    chosen = written(
         member.where(F.col("class").isNotNull()).groupBy("class").agg(least.alias("first"), F.count(F.lit(1)).alias("copies"))
     )
     return (

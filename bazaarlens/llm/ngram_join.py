@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,9 +65,10 @@ def prefix_length(n, percent: int):
 
 
 def _prefixes(counts: np.ndarray, size: int, percent: int):
-    """token, node, size and place of the rarest shingles of each set."""
+    """token, node, size and place of the rarest shingles of each set, and a row with its ``node``, a number of its own, and its key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
         for batch in in_pieces(batches):
             tokens, sizes = [], []
             for text in batch.column("text").to_pylist():
@@ -74,16 +76,17 @@ def _prefixes(counts: np.ndarray, size: int, percent: int):
                 first = prefix_length(len(found), percent) if len(found) else 0
                 tokens.append(found[np.lexsort((found, counts[_cells(found)]))[:first]])
                 sizes.append(len(found))
+            n = batch.num_rows
             lengths = np.array([len(t) for t in tokens])
-            own = np.repeat(np.arange(batch.num_rows), lengths)
+            own = np.repeat(np.arange(n), lengths)
             place = np.arange(len(own)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            columns = [
-                pa.array(np.concatenate(tokens).view(np.int64)),
-                batch.column(KEY).take(pa.array(own)),
-                pa.array(np.array(sizes, np.int32)[own]),
-                pa.array(place.astype(np.int32)),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "size", "place"])
+            nodes, sizes = number + np.arange(n), np.array(sizes, np.int32)
+            number += n
+            names = ["token", "node", "size", "place", KEY]
+            columns = [np.concatenate(tokens).view(np.int64), nodes[own], sizes[own], place.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(len(own), pa.binary())], names=names)
+            columns = [pa.nulls(n, pa.int64()), pa.array(nodes), pa.array(sizes), pa.nulls(n, pa.int32()), batch.column(KEY)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -103,32 +106,35 @@ def _meetings(size: int):
                         column.append(value)
                 else:
                     known = own
-            columns = [pa.array(x, t) for x, t in zip(out, (pa.binary(), pa.binary(), pa.int64()))]
+            columns = [pa.array(x, pa.int64()) for x in out]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "shared"])
 
     return run
 
 
-def _overlaps(pairs: DataFrame, bodies: DataFrame, size: int) -> DataFrame:
-    """``pairs`` (a, b, size_a, size_b) with the exact number of ``shared`` shingles.
+def overlaps(pairs: DataFrame, bodies: DataFrame, meetings: Callable, kind: str = "bigint", most: int = MEETING) -> DataFrame:
+    """``pairs`` (a, b, size_a, size_b) with what they exactly have in common, as ``shared``.
 
-    A hub ``b`` of many pairs has them dealt to several tasks, each of which gets the hub's text once.
+    ``meetings`` compares the texts that come after a hub's with it. A hub ``b`` has its pairs dealt out in parts of about ``most``, each of which gets the hub's text once.
     """
     met = written(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")))
-    part = F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / MEETING)).cast("int")
+    part = F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / most)).cast("int")
     dealt = written(pairs.join(met, "b").withColumn("part", part).drop("n"))
     text = bodies.select(F.col("node").alias("a"), "text")
     hubs = dealt.select(F.col("b").alias("a"), "b", "part").distinct().withColumn("side", F.lit(0))
-    sides = dealt.select("a", "b", "part").withColumn("side", F.lit(1)).unionByName(hubs).join(text, "a")
-    ready = sides.repartition("b", "part").sortWithinPartitions("b", "part", "side")
-    return in_tasks(ready.select("b", "side", "a", "text"), _meetings(size), "a binary, b binary, shared bigint").join(dealt.drop("part"), ["a", "b"])
+    sides = dealt.select("a", "b", "part").withColumn("side", F.lit(1)).unionByName(hubs)
+    few = met.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] <= BROADCAST_ROWS
+    ready = text.join(F.broadcast(sides) if few else sides, "a").repartition("b", "part").sortWithinPartitions("b", "part", "side")
+    node = pairs.schema["a"].dataType.simpleString()
+    found = in_tasks(ready.select("b", "side", "a", "text"), meetings, f"a {node}, b {node}, shared {kind}")
+    return found.join(dealt.drop("part"), ["a", "b"])
 
 
-def _links(compared: DataFrame, percent: int) -> DataFrame:
+def links_of(compared: DataFrame, percent: float) -> DataFrame:
     return compared.where(100 * F.col("shared") >= percent * (F.col("size_a") + F.col("size_b") - F.col("shared"))).select("a", "b")
 
 
-def _fits(n: Column, place: Column, m: Column, other: Column, percent: int) -> Column:
+def _fits(n: Column, place: Column, m: Column, other: Column, percent: float) -> Column:
     """Whether sets of ``n`` and ``m`` whose first common shingle has these places can share enough.
 
     No more than the rest from there on is common, on either side.
@@ -141,7 +147,7 @@ def _fits(n: Column, place: Column, m: Column, other: Column, percent: int) -> C
     )
 
 
-def _proposed(lists: DataFrame, hubs: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def proposed(lists: DataFrame, hubs: int, percent: float) -> tuple[DataFrame, DataFrame]:
     """Pairs of an entry and a hub of a block that can link, with their token; and the hubs' entries.
 
     A list is cut into blocks by size and by position in the prefix, which bound the sizes that a block's
@@ -149,24 +155,19 @@ def _proposed(lists: DataFrame, hubs: int, percent: int) -> tuple[DataFrame, Dat
     Of each block the ``hubs`` sets that come first by a digest are hubs, the same ones in many lists.
     """
     at = ["token", "size_class", "stretch"]
-    blocks = written(
-        lists.groupBy(*at).agg(
-            F.min("size").alias("smallest"), F.max("size").alias("largest"), F.max("most").alias("reach"), F.min("least").alias("from")
-        )
-    )
+    blocks = written(_blocks(lists).drop("n"))
     rank = F.row_number().over(Window.partitionBy(*at).orderBy(F.xxhash64("node"), "node"))
     chosen = lists.withColumn("rank", rank).where(F.col("rank") <= hubs)
     chosen = written(chosen.select(*at, F.col("node").alias("hub"), F.col("size").alias("hub_size"), F.col("place").alias("hub_place"), F.col("root").alias("hub_root")))
     near = F.explode(F.array(F.col("size_class") - 1, F.col("size_class"), F.col("size_class") + 1))
     meets = lists.select("token", "node", "size", "place", "least", "most", "root", near.alias("size_class"))
-    can = (F.col("least") <= F.col("largest")) & (F.col("most") >= F.col("smallest")) & (F.col("reach") >= F.col("size")) & (F.col("from") <= F.col("size"))
-    met = meets.join(blocks, ["token", "size_class"]).where(can).select(*at, "node", "size", "place", "root").join(chosen, at)
+    met = meets.join(blocks, ["token", "size_class"]).where(_may_link()).select(*at, "node", "size", "place", "root").join(chosen, at)
     fits = _fits(F.col("size"), F.col("place"), F.col("hub_size"), F.col("hub_place"), percent)
     pairs = met.where((F.col("root") != F.col("hub_root")) & fits).select("token", "node", "size", "hub", "hub_size")
     return pairs, chosen.select("token", F.col("hub").alias("node"))
 
 
-def _undecided(pairs: DataFrame, references: DataFrame, percent: int) -> DataFrame:
+def _undecided(pairs: DataFrame, references: DataFrame, percent: float) -> DataFrame:
     """Without pairs that the answers of a common reference rule out.
 
     ``references`` has for each set the one it was first compared with, and what both share. Sets a and b share at most
@@ -179,14 +180,96 @@ def _undecided(pairs: DataFrame, references: DataFrame, percent: int) -> DataFra
     return known.where(~F.coalesce(out, F.lit(False))).select("a", "b", "size_a", "size_b")
 
 
-def _rooted(lists: DataFrame, links: DataFrame) -> DataFrame:
+def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
     """Entries of lists that still hold sets of different components, with their ``root``."""
-    roots = written(components(links))
     named = written(lists.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     mixed = written(named.groupBy("token").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first <> last").select("token"))
     return written(named.join(mixed, "token", "left_semi"))
 
 
+def bounded(entries: DataFrame, percent: float) -> DataFrame:
+    """Entries token, node, size and place with the sizes that a set can link with through them, their block, and ``root``."""
+    n, place = F.col("size"), F.col("place")
+    return entries.select(
+        "token", "node", "size", "place",
+        F.floor(F.log(n) / float(np.log(100 / percent))).cast("int").alias("size_class"),
+        F.least(F.floor(place * STRETCHES / (n * (1 - percent / 100) + 1)), F.lit(STRETCHES - 1)).cast("int").alias("stretch"),
+        (n * percent / 100).alias("least"),
+        (((100 + percent) * (n - place) - percent * n) / percent).alias("most"),
+        F.col("node").alias("root"),
+    )
+
+
+def shared_tokens(entries: DataFrame) -> DataFrame:
+    """Tokens whose lists have more than one entry."""
+    return entries.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token")
+
+
+def meeting(lists: DataFrame) -> DataFrame:
+    """Entries that meet a block of other sets which they may link with, by the bounds of sizes and positions."""
+    at = ["token", "size_class", "stretch"]
+    near = F.explode(F.array(F.col("size_class") - 1, F.col("size_class"), F.col("size_class") + 1))
+    own = F.col("size_class").alias("own_class")
+    meets = lists.select("token", "node", "size", "least", "most", own, F.col("stretch").alias("own_stretch"), near.alias("size_class"))
+    alone = (F.col("n") == 1) & (F.col("size_class") == F.col("own_class")) & (F.col("stretch") == F.col("own_stretch"))
+    met = meets.join(written(_blocks(lists)), ["token", "size_class"]).where(_may_link() & ~alone)
+    kept = met.select("token", "node").distinct()
+    return lists.join(kept, ["token", "node"], "left_semi").select(*lists.columns)
+
+
+def _blocks(lists: DataFrame) -> DataFrame:
+    """What bounds the sets of each block of a list."""
+    return lists.groupBy("token", "size_class", "stretch").agg(
+        F.count(F.lit(1)).alias("n"), F.min("size").alias("smallest"), F.max("size").alias("largest"), F.max("most").alias("reach"), F.min("least").alias("from")
+    )
+
+
+def _may_link() -> Column:
+    """Whether some set of a block may link with an entry."""
+    return (F.col("least") <= F.col("largest")) & (F.col("most") >= F.col("smallest")) & (F.col("reach") >= F.col("size")) & (F.col("from") <= F.col("size"))
+
+
+def references_of(compared: DataFrame) -> DataFrame:
+    """For each set the one that it has most in common with of those it was compared with; a hub is its own."""
+    ends = compared.select(F.col("a").alias("node"), F.col("b").alias("reference"), "shared")
+    own = compared.select("b", F.col("b").alias("reference"), F.col("size_b").alias("shared"))
+    best = ends.union(own).groupBy("node").agg(F.max(F.struct("shared", "reference")).alias("r"))
+    return written(best.select("node", "r.reference", "r.shared"))
+
+
+def all_links(
+    lists: DataFrame, links: DataFrame, tested: DataFrame, references: DataFrame, compare: Callable[[DataFrame], DataFrame], percent: float, hubs: int = HUBS
+) -> DataFrame:
+    """(node, root) of the components that ``links`` (a, b) and those still missing make.
+
+    Each round compares the sets of the ``lists`` that hold several components with the next hubs, more of them
+    each time; pairs in ``tested`` have been compared before.
+    """
+    tested = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    roots = written(components(links))
+    lists = _rooted(lists, roots)
+    while lists.limit(1).count():
+        proposals, done = proposed(lists, hubs, percent)
+        ordered = F.col("node") < F.col("hub")
+        pairs = proposals.select(
+            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"),
+            F.when(ordered, F.col("size")).otherwise(F.col("hub_size")).alias("size_a"),
+            F.when(ordered, F.col("hub_size")).otherwise(F.col("size")).alias("size_b"),
+        ).distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = written(_undecided(pairs, references, percent))
+        lists = lists.join(done, ["token", "node"], "left_anti")
+        if pairs.limit(1).count():
+            compared = written(compare(pairs))
+            links = links.union(links_of(compared, percent))
+            tested = tested.union(compared.select("a", "b"))
+            roots = written(components(links))
+            lists = _rooted(lists, roots)
+        else:
+            lists = written(lists)
+        hubs *= GROWTH
+    return roots
+
+
 def ngram_components(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text", hubs: int = HUBS
 ) -> DataFrame:
@@ -196,7 +279,7 @@ def ngram_components(
     between ASCII white space, A-Z in lower case. Sets link if they share ``percent`` % of their union; exactly those links count.
 
     Equal sets are one from the start. Each set enters the lists of its rarest shingles, with size and position.
-    Lists with one set go. What can link by size and position is found block by block (``_proposed``). First every set
+    Lists with one set go. What can link by size and position is found block by block (``proposed``). First every set
     is compared with the one hub that most of its lists propose, its reference. Then, in rounds, lists that still hold
     sets of different components compare all of them with more and more hubs, unless the answers of a common reference decide; a hub's entries
     are done after its round, so no link between components is missed, and sets of one component are not compared with one another.
@@ -220,58 +303,35 @@ def ngram_components(
     gone = written(gone)
     few = gone.count() <= BROADCAST_ROWS
     single = rows.join(F.broadcast(gone) if few else gone, KEY, "left_anti").select(KEY, "text")
-    entries = written(in_tasks(single, _prefixes(counts, words, percent), "token bigint, node binary, size int, place int"))
-    shared = written(entries.groupBy("token").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last").select("token"))
-    n, place = F.col("size").cast("bigint"), F.col("place").cast("bigint")
-    lists = entries.join(shared, "token", "left_semi").distinct().select(
-        "token", "node", n.alias("size"), place.alias("place"),
-        F.floor(F.log(n) / float(np.log(100 / percent))).cast("int").alias("size_class"),
-        F.floor(place * STRETCHES / prefix_length_of(n, percent)).cast("int").alias("stretch"),
-        F.ceil(n * percent / 100).alias("least"),
-        F.floor(((100 + percent) * (n - place) - percent * n) / percent).alias("most"),
-        F.col("node").alias("root"),
-    )
-    lists = written(lists)
-    wanted = written(lists.select(F.col("node").alias(KEY)).distinct())
+    made = written(in_tasks(single, _prefixes(counts, words, percent), f"token bigint, node bigint, size int, place int, {KEY} binary"))
+    entries = made.where("token is not null").drop(KEY)
+    # Rows alike in id and text have one key: the first of them stands for all.
+    numbers = made.where("token is null").select("node", KEY)
+    first = written(numbers.groupBy(KEY).agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n")))
+    repeated = first.where("n > 1").limit(1).count() > 0
+    if repeated:
+        entries = entries.join(first.select("node"), "node", "left_semi")
+    kept = entries.join(written(shared_tokens(entries)), "token", "left_semi")
+    lists = written(bounded(kept.withColumns({c: F.col(c).cast("bigint") for c in ("size", "place")}), percent))
+    lists = written(meeting(lists))
+    wanted = written(first.select("node", KEY).join(lists.select("node").distinct(), "node", "left_semi"))
     few = wanted.count() <= BROADCAST_ROWS
-    bodies = written(single.join(F.broadcast(wanted) if few else wanted, KEY, "left_semi").dropDuplicates([KEY]).select(F.col(KEY).alias("node"), "text"))
+    bodies = single.join(F.broadcast(wanted) if few else wanted, KEY)
+    bodies = bodies.dropDuplicates(["node"]) if repeated else bodies
+    bodies = written(bodies.select("node", "text"))
 
-    proposals, _ = _proposed(lists, 1, percent)
+    proposals, _ = proposed(lists, 1, percent)
     counted = proposals.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("times"), F.max("size").alias("size_a"), F.max("hub_size").alias("size_b"))
     best = counted.groupBy(F.col("node").alias("a")).agg(F.max(F.struct("times", F.col("hub").alias("b"), "size_a", "size_b")).alias("best"))
-    compared = written(_overlaps(best.select("a", "best.b", "best.size_a", "best.size_b"), bodies, words))
-    references = written(
-        compared.select(F.col("a").alias("node"), F.col("b").alias("reference"), "shared")
-        .union(compared.select(F.col("b").alias("a"), "b", F.col("size_b").alias("shared")))
-        .groupBy("node").agg(F.max(F.struct("shared", "reference")).alias("r")).select("node", "r.reference", "r.shared")
-    )
-    links = _links(compared, percent)
-    tested = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    lists = _rooted(lists, links)
-    while lists.limit(1).count():
-        proposals, done = _proposed(lists, hubs, percent)
-        ordered = F.col("node") < F.col("hub")
-        pairs = proposals.select(
-            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"),
-            F.when(ordered, F.col("size")).otherwise(F.col("hub_size")).alias("size_a"),
-            F.when(ordered, F.col("hub_size")).otherwise(F.col("size")).alias("size_b"),
-        ).distinct().join(tested, ["a", "b"], "left_anti")
-        open_pairs = written(_undecided(written(pairs), references, percent))
-        if open_pairs.limit(1).count():
-            compared = written(_overlaps(open_pairs, bodies, words))
-            links = links.union(_links(compared, percent))
-            tested = tested.union(compared.select("a", "b"))
-        lists = _rooted(lists.join(done, ["token", "node"], "left_anti"), links)
-        hubs *= GROWTH
-
-    roots = written(sets.join(components(links), "node", "left").select("whole", F.coalesce("root", "node").alias("root")))
+    compared = written(overlaps(best.select("a", "best.b", "best.size_a", "best.size_b"), bodies, _meetings(words)))
+    references = references_of(compared)
+    links = written(links_of(compared, percent))
+    found = all_links(lists, links, compared.select("a", "b"), references, lambda pairs: overlaps(pairs, bodies, _meetings(words)), percent, hubs)
+    of_sets = sets.join(first.select(F.col(KEY).alias("set"), F.col("node").alias("number")), F.col("node") == F.col("set")).select("whole", F.col("number").alias("node"))
+    roots = written(of_sets.join(found, "node", "left").select("whole", F.coalesce("root", "node").alias("root")))
     placed = written(members.join(roots, "whole", "left").select("id", F.col("n").alias("n_shingles"), "root"))
     least = written(placed.where("root is not null").groupBy("root").agg(F.min("id").alias("least")))
     return placed.join(least, "root", "left").select(
         "id", "n_shingles", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")
     )
 
-
-def prefix_length_of(n: Column, percent: int) -> Column:
-    """``prefix_length`` as an expression."""
-    return n - F.ceil(n * percent / 100) + 1
