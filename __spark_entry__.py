@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from bazaarlens import schemas  # noqa: E402
 from bazaarlens.functions.numeric import plain_types  # noqa: E402
-from bazaarlens.operators import cleaning, hierarchy, quality, series, star  # noqa: E402
+from bazaarlens.operators import cleaning, hierarchy, quality, rejects, series, star  # noqa: E402
 from bazaarlens.operators.metrics import Dimension  # noqa: E402
 from bazaarlens.plans import customers, dashboards, headline, operations, revenue, rfm  # noqa: E402
 from bazaarlens.session import scratch_path  # noqa: E402
@@ -46,6 +46,8 @@ YEARS_APART = [1997, 1999]
 DAYS = ("1998-03-15", "1998-05-10")
 CITIES = ["NATION_9", "NATION_11", "NATION_6"]
 RESTAURANT = 42
+CUSTOMER = 77
+BUCKETS = 8
 # Rows a single task may order in the queries that exercise the sliced ranking.
 SLICE_ROWS = 4
 
@@ -96,6 +98,33 @@ def _lookup_layout(f: Fixtures) -> DataFrame:
     return sinks.lookup(f.spark.read.parquet(path), "restaurant_id", RESTAURANT)
 
 
+def _lookup_by_customer(f: Fixtures) -> DataFrame:
+    """On files clustered by restaurant, whose row groups the customer's Bloom filter tells apart."""
+    path = scratch_path(f.spark, "lookup")
+    sinks.write_lookup_layout(f.orders, path, also={"customer_id": 20_000}, group_bytes=1 << 20)
+    return sinks.lookup(f.spark.read.parquet(path), "customer_id", CUSTOMER)
+
+
+def _bucketed_lines(f: Fixtures) -> DataFrame:
+    """Line facts from tables bucketed by order: the join moves no rows."""
+    tables = {}
+    for name, df in (("orders", f.orders), ("items", f.order_items)):
+        path = scratch_path(f.spark, f"bucketed_{name}")
+        tables[name] = path.rsplit("/", 1)[1].replace("-", "_")
+        sinks.save_bucketed(df, tables[name], "order_id", BUCKETS, path)
+    return star.fact_order_items(*[f.spark.table(tables[name]).hint("merge") for name in ("items", "orders")])
+
+
+def _balance(f: Fixtures) -> DataFrame:
+    path = scratch_path(f.spark, "tagged")
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{path}/{name}")
+        return f.spark.read.parquet(f"{path}/{name}")
+
+    return rejects.balance(f.raw, rejects.sort_out(f.raw, put))
+
+
 def _refreshed(f: Fixtures) -> DataFrame:
     """Row counts after two refreshes, the second with delivered orders only, and one that never got to its commit."""
     path, market = scratch_path(f.spark, "market"), f.market
@@ -174,11 +203,13 @@ QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {
     # operations
     "sla_by_city": lambda f: operations.sla_by_city(f.orders, f.restaurants),
     "delivery_percentiles": lambda f: operations.delivery_percentiles(f.orders, f.restaurants),
+    "delivery_percentiles_sketched": lambda f: operations.sketched_percentiles(f.orders, f.restaurants),
     "rider_leaderboard": lambda f: operations.rider_leaderboard(f.orders, f.riders, MIN_DELIVERIES),
     "cancel_refund_by_city": lambda f: operations.cancel_refund_by_city(f.orders, f.restaurants),
     "vehicle_performance": lambda f: operations.vehicle_performance(f.orders, f.riders),
     "peak_hours": lambda f: operations.peak_hours(f.orders),
     "selective_lookup_layout": _lookup_layout,
+    "selective_lookup_customer": _lookup_by_customer,
     "selective_lookup": lambda f: sinks.lookup(f.orders, "restaurant_id", RESTAURANT),
     # headline figures
     "kpi_topline": lambda f: headline.kpi_topline(f.customers, f.restaurants, f.orders),
@@ -205,6 +236,7 @@ QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {
     "refreshed_row_counts": _refreshed,
     "row_counts": lambda f: quality.row_counts(dict(cleaning.clean_all(f.raw).items())),
     "dq_summary": _summary,
+    "reject_balance": _balance,
     "unparsed_dates": lambda f: quality.unparsed_dates(f.raw),
     # star schema
     "dim_date": lambda f: star.dim_date(f.orders),
@@ -215,6 +247,7 @@ QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {
     "fact_orders": _fact_orders,
     "fact_reviews": _fact_reviews,
     "fact_order_items": lambda f: star.fact_order_items(f.order_items, f.orders),
+    "fact_order_items_bucketed": _bucketed_lines,
     # metric layer and dashboards
     "metrics_overall": lambda f: dashboards.metrics_overall(_fact_orders(f)),
     "metrics_by_month": lambda f: dashboards.metrics_by_month(_fact_orders(f), star.dim_date(f.orders)),

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from bazaarlens.operators.joins import broadcast_if_small
 from bazaarlens.session import cut_lineage
 
 # Up to this many rows are ordered by a plain window in one task. Both ways number the same total
@@ -265,22 +264,13 @@ def sequence_in_group(
 ) -> DataFrame:
     """Row number inside each group and, as ``previous=(column, name)``, the value one row before.
 
-    ``rows`` bounds the row count where the caller knows it. Ordinary groups use a window; groups above ``task_rows`` rows are cut into
-    slices and joined up again, so none of them ends in one task.
+    ``rows`` bounds the row count where the caller knows it. Up to ``task_rows`` rows a window per group does. More are sorted by
+    group and order and cut into slices, all groups alike, in one pass that writes them; counts and last values per group and
+    slice then carry the numbers from slice to slice. So no group ends in one task, and no size has to be known before.
     """
-    if rows is not None and rows <= task_rows:
-        return _plain_sequence(df, group, order, name, previous)
-    sizes = df.groupBy(group).agg(F.count("*").alias("_n"))
-    large = cut_lineage(sizes.filter(F.col("_n") > task_rows).select(group))
-    if large.isEmpty():
+    if (df.count() if rows is None else rows) <= task_rows:
         return _plain_sequence(df, group, order, name, previous)
-    large = broadcast_if_small(large)
-    same = df[group].eqNullSafe(large[group])
-    rest = df.join(large, same, "left_anti")
-    hot = df.join(large, same, "left_semi")
-    return _plain_sequence(rest, group, order, name, previous).unionByName(
-        _sliced_sequence(hot, group, order, name, previous)
-    )
+    return _sliced_sequence(df, group, order, name, previous)
 
 
 def _plain_sequence(df, group, order, name, previous) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from bazaarlens.functions.dates import month_of
@@ -52,34 +54,32 @@ def write_marts(star: dict[str, DataFrame], folder: str) -> None:
             df.write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
-def write_lookup_layout(orders: DataFrame, path: str, key: str = "restaurant_id") -> None:
+def write_lookup_layout(orders: DataFrame, path: str, key: str = "restaurant_id", also: Mapping[str, int] | None = None, group_bytes: int | None = None) -> None:
     """Orders clustered by ``key``, so a lookup of one value skips most row groups.
 
     Range partitioning on the key and the order id spreads a hot key over many
-    files; sorting inside each file gives its row groups narrow key ranges.
+    files; sorting inside each file gives its row groups narrow key ranges. Further keys, in ``also`` with about how many
+    different values a row group has of each, get Bloom filters, by which a lookup skips the row groups that
+    don't hold its value; that pays for keys of few rows. ``group_bytes`` sets the size of a row group.
     """
-    (
-        orders.repartitionByRange(key, "order_id")
-        .sortWithinPartitions(key, "order_id")
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+    writer = orders.repartitionByRange(key, "order_id").sortWithinPartitions(key, "order_id").write.mode("overwrite")
+    for other, values in (also or {}).items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{other}", "true").option(f"parquet.bloom.filter.expected.ndv#{other}", str(values))
+        # A dictionary would take the filter's place.
+        writer = writer.option(f"parquet.enable.dictionary#{other}", "false")
+    if group_bytes is not None:
+        writer = writer.option("parquet.block.size", str(group_bytes))
+    writer.parquet(path)
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
     """Table bucketed and sorted by ``key``: joins of two such tables need no shuffle.
 
     Rows are brought together by key before the write, or every task would open a
-    file in every bucket; rebalancing, unlike a plain repartition, splits a hot key.
+    file in every bucket; rebalancing, unlike a plain repartition, splits a hot key. The files are in ``path``, if given, else in the warehouse.
     """
-    (
-        df.hint("rebalance", key)
-        .write.mode("overwrite")
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .format("parquet")
-        .saveAsTable(table)
-    )
+    writer = df.hint("rebalance", key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
 
 
 def lookup(orders: DataFrame, key: str, value: int, status: str = "delivered") -> DataFrame:

@@ -254,6 +254,9 @@ _BODIES: dict[str, str] = {
                quantile_cont(CAST(minutes AS DOUBLE), 0.5) AS median_minutes,
                quantile_cont(CAST(minutes AS DOUBLE), 0.9) AS p90_minutes
         FROM m_timed JOIN m_restaurants USING (restaurant_id) GROUP BY city""",
+    "delivery_percentiles_sketched": """
+        SELECT city, count(*) AS deliveries, true AS median_ok, true AS p90_ok
+        FROM m_timed JOIN m_restaurants USING (restaurant_id) GROUP BY city""",
     "rider_leaderboard": f"""
         SELECT name, city, vehicle_type, deliveries, avg_minutes, on_time_pct FROM (
             SELECT rider_id, count(*) AS deliveries, {ratio("sum(minutes)", "count(*)", 1)} AS avg_minutes,
@@ -278,6 +281,8 @@ _BODIES: dict[str, str] = {
         SELECT order_id, {money("cents")} AS total_amount FROM m_done WHERE restaurant_id = 42""",
     "selective_lookup_layout": f"""
         SELECT order_id, {money("cents")} AS total_amount FROM m_done WHERE restaurant_id = 42""",
+    "selective_lookup_customer": f"""
+        SELECT order_id, {money("cents")} AS total_amount FROM m_done WHERE customer_id = 77""",
     "kpi_topline": f"""
         SELECT (SELECT count(*) FROM m_customers) AS customers, (SELECT count(*) FROM m_restaurants) AS restaurants,
                (SELECT count(*) FROM m_orders) AS total_orders, count(*) AS delivered_orders,
@@ -374,6 +379,21 @@ _BODIES: dict[str, str] = {
                count(*) FILTER (WHERE minutes IS NULL OR minutes < 0) AS null_delivery_times,
                count(*) FILTER (WHERE minutes > 180) AS outlier_delivery_times
         FROM m_clean_orders""",
+    "reject_balance": """
+        SELECT table_name, raw_rows, kept_rows, raw_rows - kept_rows AS rejected_rows, lost_values FROM (
+            SELECT 'customers' AS table_name, (SELECT count(*) FROM m_raw_customers) AS raw_rows, count(*) AS kept_rows,
+                   count_if(try_strptime(signup_text, ['%Y-%m-%d', '%m/%d/%Y', '%m-%d-%Y', '%d-%b-%Y', '%d/%m/%Y']) IS NULL
+                            AND signup_text IS NOT NULL) AS lost_values
+            FROM m_dedup_customers
+            UNION ALL SELECT 'restaurants', count(*), count(*), 0 FROM m_restaurants
+            UNION ALL SELECT 'menu_items', count(*), count(*), 0 FROM m_menu_items
+            UNION ALL SELECT 'riders', count(*), count(*), 0 FROM m_riders
+            UNION ALL SELECT 'orders', (SELECT count(*) FROM m_raw_orders), count(*), count_if(minutes < 0) FROM m_clean_orders
+            UNION ALL SELECT 'order_items', (SELECT count(*) FROM m_items), count(*), 0
+            FROM m_items WHERE order_id IN (SELECT order_id FROM m_clean_orders)
+            UNION ALL SELECT 'reviews', (SELECT count(*) FROM m_reviews), count(*),
+                   count_if(review_date IS NULL AND date_text IS NOT NULL)
+            FROM m_reviews WHERE order_id IN (SELECT order_id FROM m_clean_orders))""",
     "unparsed_dates": """
         SELECT 'customers' AS table_name, 'signup_date' AS column_name, count(signup_text) AS date_texts,
                count_if(try_strptime(signup_text, ['%Y-%m-%d', '%m/%d/%Y', '%m-%d-%Y', '%d-%b-%Y', '%d/%m/%Y']) IS NULL) AS unparsed
@@ -415,6 +435,11 @@ _BODIES: dict[str, str] = {
                {money("quantity * price_cents")} AS line_revenue, CAST(order_timestamp AS DATE) AS date_key, status,
                status = 'delivered' AS is_delivered
         FROM m_items JOIN m_orders USING (order_id)""",
+    "fact_order_items_bucketed": f"""
+        SELECT order_id, item_id, {big("quantity")} AS quantity, {money("price_cents")} AS unit_price,
+               {money("quantity * price_cents")} AS line_revenue, CAST(order_timestamp AS DATE) AS date_key, status,
+               status = 'delivered' AS is_delivered
+        FROM m_items JOIN m_orders USING (order_id)""",
     "metrics_overall": f"SELECT {_MEASURES} FROM m_fact",
     "metrics_by_month": f"""
         SELECT strftime(date_key, '%Y-%m') AS year_month, {_MEASURES} FROM m_fact GROUP BY 1 ORDER BY 1""",

@@ -191,3 +191,61 @@ def test_scan_reads_only_needed_columns(spark, tmp_path, market):
     text = plan(revenue.last_order(orders))
     assert "PushedFilters: [IsNotNull(status), EqualTo(status,delivered)]" in text
     assert "ReadSchema: struct<customer_id:bigint,order_timestamp:timestamp_ntz,status:string>" in text
+
+
+def test_a_large_file_without_line_breaks_is_read_by_many_tasks(spark, tmp_path):
+    """Quotes and commas inside values are no line breaks; a file that has one is read whole, with the same rows."""
+    (tmp_path / "t").mkdir()
+    lines = [f'{k},"say ""hi"", {k}"' if k % 3 else f"{k}," for k in range(20_000)]
+    (tmp_path / "t" / "one part.csv").write_text("a,b\n" + "\n".join(lines) + "\n")
+    schema = spark.createDataFrame([], PAIR).schema
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = staging.read_text(spark, str(tmp_path / "t"), schema)
+        assert found.rdd.getNumPartitions() > 4
+        whole = staging.read_text(spark, str(tmp_path / "t"), schema, multiline=True)
+        assert sorted(rows(found), key=str) == sorted(rows(whole), key=str)
+        (tmp_path / "t" / "two.csv").write_text('a,b\nx"y,"open\nstill, ""it"""\n')
+        closed, wide = staging.files_with_open_lines(spark, str(tmp_path / "t"))
+        assert [len(closed), len(wide)] == [1, 1]
+        both = staging.read_text(spark, str(tmp_path / "t"), schema)
+        whole = staging.read_text(spark, str(tmp_path / "t"), schema, multiline=True)
+        assert sorted(rows(both), key=str) == sorted(rows(whole), key=str)
+        assert ('x"y', 'open\nstill, "it"') in rows(both)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_lookup_of_a_further_key_skips_row_groups(spark, tmp_path, fixtures):
+    """Clustered by restaurant; the customer's Bloom filter leaves out the row groups without it."""
+    orders = fixtures.orders.unionAll(fixtures.orders.selectExpr("order_id + 10000000 AS order_id", "customer_id + 10000000 AS customer_id", *fixtures.orders.columns[2:]))
+    plain, filtered = str(tmp_path / "plain"), str(tmp_path / "filtered")
+    sinks.write_lookup_layout(orders, plain, group_bytes=4096)
+    sinks.write_lookup_layout(orders, filtered, also={"customer_id": 500}, group_bytes=4096)
+    one = orders.groupBy("customer_id").count().orderBy("count", "customer_id").first()["customer_id"]
+
+    def read(path):
+        df = sinks.lookup(spark.read.parquet(path), "customer_id", one)
+        found = sorted(rows(df))
+        nodes, scanned = [df._jdf.queryExecution().executedPlan()], 0
+        while nodes:
+            node = nodes.pop()
+            if node.nodeName().startswith("Scan parquet"):
+                scanned += node.metrics().apply("numOutputRows").value()
+            children = node.children()
+            nodes += [children.apply(k) for k in range(children.size())]
+        return found, scanned
+
+    (want, all_rows), (found, some) = read(plain), read(filtered)
+    assert found == want and some < all_rows
+
+
+def test_bucketed_facts_join_without_a_shuffle(spark, fixtures):
+    import __spark_entry__ as contract
+
+    df = contract._bucketed_lines(fixtures)
+    text = plan(df)
+    assert "Exchange" not in text and "SortMergeJoin" in text
+    assert df.count() == star.fact_order_items(fixtures.order_items, fixtures.orders).count()
