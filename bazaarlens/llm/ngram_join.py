@@ -112,10 +112,10 @@ def _meetings(size: int):
     return run
 
 
-def overlaps(pairs: DataFrame, bodies: DataFrame, meetings: Callable, kind: str = "bigint", most: int = MEETING) -> DataFrame:
-    """``pairs`` (a, b, size_a, size_b) with what they exactly have in common, as ``shared``.
+def gathered(pairs: DataFrame, bodies: DataFrame, most: int = MEETING) -> tuple[DataFrame, DataFrame]:
+    """b, side, a and text: for each part of a hub's pairs the hub's text (side 0), then those of its ``a``; and the pairs with their part.
 
-    ``meetings`` compares the texts that come after a hub's with it. A hub ``b`` has its pairs dealt out in parts of about ``most``, each of which gets the hub's text once.
+    Parts have about ``most`` pairs, whatever a hub has.
     """
     met = written(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")))
     part = F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / most)).cast("int")
@@ -125,13 +125,23 @@ def overlaps(pairs: DataFrame, bodies: DataFrame, meetings: Callable, kind: str
     sides = dealt.select("a", "b", "part").withColumn("side", F.lit(1)).unionByName(hubs)
     few = met.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] <= BROADCAST_ROWS
     ready = text.join(F.broadcast(sides) if few else sides, "a").repartition("b", "part").sortWithinPartitions("b", "part", "side")
+    return ready.select("b", "side", "a", "text"), dealt
+
+
+def overlaps(pairs: DataFrame, bodies: DataFrame, meetings: Callable, kind: str = "bigint", most: int = MEETING) -> DataFrame:
+    """``pairs`` (a, b, size_a, size_b) with what they exactly have in common, as ``shared``.
+
+    ``meetings`` compares the texts that come after a hub's with it. A hub ``b`` has its pairs dealt out in parts of about ``most``, each of which gets the hub's text once.
+    """
+    ready, dealt = gathered(pairs, bodies, most)
     node = pairs.schema["a"].dataType.simpleString()
-    found = in_tasks(ready.select("b", "side", "a", "text"), meetings, f"a {node}, b {node}, shared {kind}")
+    found = in_tasks(ready, meetings, f"a {node}, b {node}, shared {kind}")
     return found.join(dealt.drop("part"), ["a", "b"])
 
 
-def links_of(compared: DataFrame, percent: float) -> DataFrame:
-    return compared.where(100 * F.col("shared") >= percent * (F.col("size_a") + F.col("size_b") - F.col("shared"))).select("a", "b")
+def links_of(compared: DataFrame, percent: float, *more: str) -> DataFrame:
+    linked = 100 * F.col("shared") >= percent * (F.col("size_a") + F.col("size_b") - F.col("shared"))
+    return compared.where(linked).select("a", "b", *more)
 
 
 def _fits(n: Column, place: Column, m: Column, other: Column, percent: float) -> Column:
@@ -163,7 +173,7 @@ def proposed(lists: DataFrame, hubs: int, percent: float) -> tuple[DataFrame, Da
     meets = lists.select("token", "node", "size", "place", "least", "most", "root", near.alias("size_class"))
     met = meets.join(blocks, ["token", "size_class"]).where(_may_link()).select(*at, "node", "size", "place", "root").join(chosen, at)
     fits = _fits(F.col("size"), F.col("place"), F.col("hub_size"), F.col("hub_place"), percent)
-    pairs = met.where((F.col("root") != F.col("hub_root")) & fits).select("token", "node", "size", "hub", "hub_size")
+    pairs = met.where((F.col("root") != F.col("hub_root")) & fits).select("token", "node", "size", "root", "hub", "hub_size", "hub_root")
     return pairs, chosen.select("token", F.col("hub").alias("node"))
 
 
@@ -177,14 +187,23 @@ def _undecided(pairs: DataFrame, references: DataFrame, percent: float) -> DataF
     known = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
     most = F.least("a_shared", "b_shared") + F.least(F.col("size_a") - F.col("a_shared"), F.col("size_b") - F.col("b_shared"))
     out = (F.col("a_ref") == F.col("b_ref")) & ((100 + percent) * most < percent * (F.col("size_a") + F.col("size_b")))
-    return known.where(~F.coalesce(out, F.lit(False))).select("a", "b", "size_a", "size_b")
+    return known.where(~F.coalesce(out, F.lit(False))).select(*pairs.columns)
+
 
+def _mixed(lists: DataFrame) -> DataFrame:
+    """Entries of lists that hold sets of different roots."""
+    mixed = lists.groupBy("token").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first <> last").select("token")
+    return written(lists.join(written(mixed), "token", "left_semi"))
 
-def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """Entries of lists that still hold sets of different components, with their ``root``."""
-    named = written(lists.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    mixed = written(named.groupBy("token").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first <> last").select("token"))
-    return written(named.join(mixed, "token", "left_semi"))
+
+def _relabelled(lists: DataFrame, links: DataFrame) -> DataFrame:
+    """Entries whose root is the least of those that ``links`` (root_a, root_b) tie to it directly.
+
+    Equal roots still mean equal components; roots that differ may lie in one, which costs a comparison at most.
+    """
+    ends = links.select(F.col("root_a").alias("root"), F.col("root_b").alias("other")).union(links.select("root_b", "root_a"))
+    least = written(ends.groupBy("root").agg(F.min("other").alias("other")).where("other < root"))
+    return lists.join(least, "root", "left").withColumn("root", F.coalesce("other", "root")).drop("other").select(*lists.columns)
 
 
 def bounded(entries: DataFrame, percent: float) -> DataFrame:
@@ -247,27 +266,26 @@ def all_links(
     """
     tested = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     roots = written(components(links))
-    lists = _rooted(lists, roots)
+    rooted = lists.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    lists, found = _mixed(rooted), False
     while lists.limit(1).count():
         proposals, done = proposed(lists, hubs, percent)
         ordered = F.col("node") < F.col("hub")
-        pairs = proposals.select(
-            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"),
-            F.when(ordered, F.col("size")).otherwise(F.col("hub_size")).alias("size_a"),
-            F.when(ordered, F.col("hub_size")).otherwise(F.col("size")).alias("size_b"),
-        ).distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = written(_undecided(pairs, references, percent))
+        ends = {"size": ("size", "hub_size"), "root": ("root", "hub_root")}
+        both = [F.when(ordered, F.col(x if e == "a" else y)).otherwise(F.col(y if e == "a" else x)).alias(f"{n}_{e}") for n, (x, y) in ends.items() for e in "ab"]
+        pairs = proposals.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), *both).distinct()
+        pairs = written(_undecided(pairs.join(tested, ["a", "b"], "left_anti"), references, percent))
         lists = lists.join(done, ["token", "node"], "left_anti")
         if pairs.limit(1).count():
             compared = written(compare(pairs))
-            links = links.union(links_of(compared, percent))
+            new = links_of(compared, percent, "root_a", "root_b")
+            links, found = links.union(new.select("a", "b")), True
             tested = tested.union(compared.select("a", "b"))
-            roots = written(components(links))
-            lists = _rooted(lists, roots)
+            lists = _mixed(_relabelled(lists, new))
         else:
             lists = written(lists)
         hubs *= GROWTH
-    return roots
+    return components(links) if found else roots
 
 
 def ngram_components(
