@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -71,16 +72,34 @@ def _size(content: bytes, known: bytes) -> int:
 def novelty(text: str, start: int, end: int) -> float:
     """Marginal compressed bytes of ``text[start:end]``, for each of its bytes.
 
-    The compressor knows the identifiers and the text around; what it adds for the candidate after
-    the text before it is the candidate's own information.
+    The compressor knows the identifiers and the text around, without other places of the candidate
+    itself; what it adds for the candidate after the text before it is the candidate's own information.
     """
-    before = text[max(0, start - AROUND) : start].encode("utf-8", "replace")
-    after = text[end : end + AROUND].encode("utf-8", "replace")
     own = text[start:end].encode()
+    before = text[max(0, start - AROUND) : start].encode("utf-8", "replace").replace(own, b"")
+    after = text[end : end + AROUND].encode("utf-8", "replace").replace(own, b"")
     known = IDENTIFIERS + after + before
     return (_size(before[-16:] + own, known) - _size(before[-16:], known)) / len(own)
 
 
+class _Covered:
+    """Places that spans cover, looked up by halving."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def touch(self, start: int, end: int) -> bool:
+        last = bisect_left(self.starts, end) - 1
+        return last >= 0 and self.ends[last] > start
+
+
 def novel_spans(text: str, taken: list[tuple[int, str, int]], least: float) -> list[tuple[int, str, int]]:
     """Strings in sensitive places that don't compress and that no base span touches.
 
@@ -89,31 +108,30 @@ def novel_spans(text: str, taken: list[tuple[int, str, int]], least: float) -> l
     """
     if not _SENSITIVE.search(text):
         return []
-    found, sorted_taken = [], sorted((s, e) for s, _, e in taken)
+    found, covered = [], _Covered((s, e) for s, _, e in taken)
     for m in _CANDIDATE.finditer(text):
         own = m[0]
         if not (any(c.isdigit() for c in own) and any(c.isalpha() for c in own)):
             continue
-        if any(s < m.end() and m.start() < e for s, e in sorted_taken):
+        if covered.touch(*m.span()):
             continue
         follows = found and _NEXT_LINE.fullmatch(text, found[-1][2], m.start())
         if (follows or _SENSITIVE.search(text, max(0, m.start() - BEFORE), m.start())) and novelty(text, *m.span()) >= least:
             found.append((m.start(), "novel", m.end()))
-    return sorted(found + _key_lines(text, found, sorted_taken)) if found else found
+    return sorted(found + _key_lines(text, found, [(s, e) for s, _, e in taken])) if found else found
 
 
 def _key_lines(text: str, found: list[tuple[int, str, int]], taken: list[tuple[int, int]]) -> list[tuple[int, str, int]]:
     """Lines of private keys that follow a line of ``found`` and are in neither list."""
-    more = []
+    more, starts, covered = [], [s for s, _, _ in found], _Covered([*taken, *((s, e) for s, _, e in found)])
     for block in _KEY_BLOCK.finditer(text):
-        known = sorted([(s, e) for s, _, e in found if block.start(1) <= s < block.end(1)])
-        if not known:
+        first = bisect_left(starts, block.start(1))
+        if first == len(starts) or starts[first] >= block.end(1):
             continue
-        spans = known + [(s, e) for s, e in taken if s < block.end(1) and block.start(1) < e]
-        last = known[0][1]
+        last = found[first][2]
         while m := _KEY_LINE.match(text, last, block.end(1)):
             last = m.end()
-            if not any(s < m.end(1) and m.start(1) < e for s, e in spans):
+            if not covered.touch(m.start(1), m.end(1)):
                 more.append((m.start(1), "novel", m.end(1)))
     return more
 

@@ -165,7 +165,44 @@ def test_novel_strings_in_sensitive_places(documents):
     spans = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(documents(pairs)).collect()}
     at = pairs[0][1].index(random_string)
     assert spans[1] == f"novel:{at}:{at + 40}"
-    assert [spans[k] for k in (2, 3, 4, 5)] == [""] * 4
+    # A string that stands twice is found where it is in a sensitive place, whatever stands around.
+    again = pairs[3][1].rindex(random_string)
+    assert spans[4] == f"novel:{again}:{again + 40}"
+    assert [spans[k] for k in (2, 3, 5)] == [""] * 3
+
+
+def test_novel_spans_against_plain_code():
+    """Candidates one by one, against every taken span."""
+    dice = random.Random(5)
+    word = lambda n: "".join(dice.choices(string.ascii_letters + string.digits, k=n))
+    for _ in range(40):
+        parts = []
+        for _ in range(30):
+            parts.append(dice.choice([f"token {word(30)}", f"password={word(20)}", word(16), "f0" * 13, "some words here", f"bearer {'ab12' * 8}", "é" * 9]))
+        text = dice.choice([" ", "\n"]).join(parts)
+        taken = secrets.base_spans(text)
+        want = []
+        for m in secrets._CANDIDATE.finditer(text):
+            own = m[0]
+            mixed = any(c.isdigit() for c in own) and any(c.isalpha() for c in own)
+            if not mixed or any(s < m.end() and m.start() < e for s, _, e in taken):
+                continue
+            near = secrets._SENSITIVE.search(text, max(0, m.start() - secrets.BEFORE), m.start())
+            follows = want and secrets._NEXT_LINE.fullmatch(text, want[-1][2], m.start())
+            if (near or follows) and secrets.novelty(text, *m.span()) >= secrets.NOVELTY:
+                want.append((m.start(), "novel", m.end()))
+        assert secrets.novel_spans(text, taken, secrets.NOVELTY) == want
+
+
+def test_many_hashes_take_time_in_proportion():
+    import time
+
+    dice = random.Random(2)
+    lines = [f"{k} secret {''.join(dice.choices('0123456789abcdef', k=40))}" for k in range(60_000)]
+    began = time.process_time()
+    text = "\n".join(lines)
+    assert secrets.novel_spans(text, secrets.base_spans(text), secrets.NOVELTY) == []
+    assert time.process_time() - began < 20
 
 
 def test_every_line_of_a_private_key_is_reported():
