@@ -149,6 +149,9 @@ def tag(text: str | None, known: _Levels, model: Model) -> tuple[tuple[float, ..
     chances = chain_marginals(levels[at], at, len(levels), model)
     wanted = set(at.tolist())
     spans = [m.span() for k, m in enumerate(_WORD.finditer(low)) if k in wanted]
+    if len(low) != len(text):  # some letters are two in lower case
+        place = [k for k, c in enumerate(text) for _ in c.lower()]
+        spans = [(place[s], place[e - 1] + 1) for s, e in spans]
     return document_features(chances, len(levels)), [(s, e, float(c)) for (s, e), c in zip(spans, chances)]
 
 
