@@ -1,7 +1,11 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame, which is written as Parquet and read
-again for the next one. All but the last keep the columns of ``documents``.
+again for the next one. All but the last keep the columns of ``documents``, whatever further ones there are.
+
+Every stage takes null ids and texts, empty texts, repeated rows and an empty table: null and empty texts have no words, so the base
+rules reject them; rows alike in id and text get the same verdict, and near dedup keeps one of them; an empty table
+stays empty through all stages.
 """
 
 from __future__ import annotations
