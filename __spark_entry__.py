@@ -52,6 +52,17 @@ BUCKETS = 8
 SLICE_ROWS = 4
 
 
+def _put(f: Fixtures, folder: str) -> Callable[[str, DataFrame], DataFrame]:
+    """Writes a table to a fresh folder and returns it as written."""
+    path = scratch_path(f.spark, folder)
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{path}/{name}")
+        return f.spark.read.parquet(f"{path}/{name}")
+
+    return put
+
+
 def _taxonomy(f: Fixtures) -> DataFrame:
     edges = f.spark.createDataFrame(CATEGORY_TREE, "node string, parent string")
     found = revenue.category_revenue(f.order_items, f.orders, f.menu_items)
@@ -88,7 +99,7 @@ def _staged_all(f: Fixtures) -> DataFrame:
 
 
 def _summary(f: Fixtures) -> DataFrame:
-    clean = cleaning.clean_all(f.raw)
+    clean = cleaning.clean_all(f.raw, _put(f, "clean"))
     return quality.dq_summary(f.raw_customers, clean.customers, clean.restaurants, clean.orders, clean.reviews)
 
 
@@ -116,13 +127,7 @@ def _bucketed_lines(f: Fixtures) -> DataFrame:
 
 
 def _balance(f: Fixtures) -> DataFrame:
-    path = scratch_path(f.spark, "tagged")
-
-    def put(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{path}/{name}")
-        return f.spark.read.parquet(f"{path}/{name}")
-
-    return rejects.balance(f.raw, rejects.sort_out(f.raw, put))
+    return rejects.balance(f.raw, rejects.sort_out(f.raw, _put(f, "tagged")))
 
 
 def _refreshed(f: Fixtures) -> DataFrame:
@@ -234,7 +239,7 @@ QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {
     "clean_reviews": lambda f: cleaning.clean_reviews(f.raw_reviews, _clean_orders(f)),
     "constraint_audit": _audited,
     "refreshed_row_counts": _refreshed,
-    "row_counts": lambda f: quality.row_counts(dict(cleaning.clean_all(f.raw).items())),
+    "row_counts": lambda f: quality.row_counts(dict(cleaning.clean_all(f.raw, _put(f, "clean")).items())),
     "dq_summary": _summary,
     "reject_balance": _balance,
     "unparsed_dates": lambda f: quality.unparsed_dates(f.raw),

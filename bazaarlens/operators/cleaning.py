@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -145,11 +145,15 @@ def clean_reviews(raw: DataFrame, orders: DataFrame, patterns: Sequence[str] = D
     return _of_kept_orders(typed, orders)
 
 
-def clean_all(raw: dict[str, DataFrame]) -> Marketplace:
-    """All seven tables, parents before children."""
-    customers = clean_customers(raw["customers"])
-    restaurants = clean_restaurants(raw["restaurants"])
-    orders = clean_orders(raw["orders"], customers, restaurants)
+def clean_all(raw: dict[str, DataFrame], put: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> Marketplace:
+    """All seven tables, parents before children.
+
+    ``put(name, df)`` may write a table that others are checked against and return it as written; without that, each
+    child cleans its parents again.
+    """
+    customers = put("customers", clean_customers(raw["customers"]))
+    restaurants = put("restaurants", clean_restaurants(raw["restaurants"]))
+    orders = put("orders", clean_orders(raw["orders"], customers, restaurants))
     return Marketplace(
         customers=customers,
         restaurants=restaurants,
