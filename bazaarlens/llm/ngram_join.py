@@ -64,6 +64,14 @@ def prefix_length(n, percent: int):
     return n - (n * percent + 99) // 100 + 1
 
 
+def _rarest(found: np.ndarray, counts: np.ndarray, first: int) -> np.ndarray:
+    """The ``first`` of the ascending ``found`` by count and then by digest; only what may be among them is sorted."""
+    if first < len(found):
+        some = np.flatnonzero(counts <= np.partition(counts, first - 1)[first - 1]) if first else np.empty(0, np.int64)
+        found, counts = found[some], counts[some]
+    return found[np.argsort(counts, kind="stable")[:first]]
+
+
 def _prefixes(counts: np.ndarray, size: int, percent: int):
     """token, node, size and place of the rarest shingles of each set, and a row with its ``node``, a number of its own, and its key."""
 
@@ -74,7 +82,7 @@ def _prefixes(counts: np.ndarray, size: int, percent: int):
             for text in batch.column("text").to_pylist():
                 found = _set(text, size)
                 first = prefix_length(len(found), percent) if len(found) else 0
-                tokens.append(found[np.lexsort((found, counts[_cells(found)]))[:first]])
+                tokens.append(_rarest(found, counts[_cells(found)], first))
                 sizes.append(len(found))
             n = batch.num_rows
             lengths = np.array([len(t) for t in tokens])

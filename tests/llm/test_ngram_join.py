@@ -79,3 +79,17 @@ def test_odd_rows(odd, none):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     assert found(odd) == by_hand(rows)
     assert found(none) == []
+
+
+def test_rarest_are_those_of_a_whole_sort():
+    import numpy as np
+
+    from bazaarlens.llm.ngram_join import _rarest
+
+    random_numbers = np.random.default_rng(1)
+    for n in (0, 1, 2, 50, 300):
+        for most in (1, 3, 1000):
+            found = np.unique(random_numbers.integers(0, 10**6, n).astype(np.uint64))
+            counts = random_numbers.integers(0, most, len(found))
+            for first in {0, len(found) // 7, len(found)}:
+                assert (_rarest(found, counts, first) == found[np.lexsort((found, counts))[:first]]).all()
