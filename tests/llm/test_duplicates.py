@@ -182,6 +182,28 @@ def test_passages_are_exact_enough():
     assert passages(one, shingles([w.encode() for w in dice.sample(a, len(a))]), everywhere, 46, 0.8) == []
 
 
+def test_passages_with_edits_are_found_beside_looser_text():
+    """Six words replaced in the middle of a hundred; one word changed, next to text that has too many changes."""
+    dice = random.Random(2)
+    fresh = lambda n: [f"w{dice.randrange(10**7)}" for _ in range(n)]
+    digests = lambda w: shingles([x.encode() for x in w])
+
+    def found(a, b):
+        return passages(digests(a), digests(b), np.ones(len(a) - 4, bool), 46, 0.8)
+
+    base = fresh(100)
+    edited = base[:47] + fresh(6) + base[53:]
+    assert found(fresh(20) + base + fresh(30), fresh(5) + edited + fresh(9)) == [(20, 116, 5, 101)]
+    one = fresh(90)
+    two = [*one[:45], "changed", *one[46:]]
+    loose = fresh(60)
+    looser = [w if dice.random() < 0.6 else f"y{k}" for k, w in enumerate(loose)]
+    for (a, b), (low, high) in (((loose + one, looser + two), (60, 146)), ((one + loose, two + looser), (0, 86))):
+        (span,) = found(a, b)
+        assert span[0] <= low and high <= span[1] and span[2:] == span[:2]
+    assert found(loose, looser) == []
+
+
 def test_repeated_passages_against_plain_code(documents):
     dice = random.Random(6)
     fresh = lambda n: [f"w{dice.randint(0, 10**7)}" for _ in range(n)]
