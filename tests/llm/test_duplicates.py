@@ -240,3 +240,46 @@ def test_repeated_passages_odd_rows(odd, none):
     found = repeated_passages(odd)
     assert {r["doc_id"] for r in found.collect()} == {None, 4, 5, 10}
     assert repeated_passages(none).count() == 0
+
+
+def test_passages_whose_middle_stands_in_many_texts_tie_their_texts(documents):
+    """Pairs share 60 words whose middle 40 stand in 30 other texts each; and 60 words with one changed, in the same surroundings."""
+    dice = random.Random(21)
+    fresh = lambda n: [f"w{dice.randrange(10**8)}" for _ in range(n)]
+    pairs, expected = [], {}
+    for k in range(12):
+        shared = fresh(60)
+        changed = shared if k % 2 else [*shared[:30], f"changed{k}", *shared[31:]]
+        texts = [fresh(30) + own + fresh(30) for own in (shared, changed)]
+        for own in texts:
+            expected[1000 * k + 500 + len(expected) % 2] = 1000 * k + 500
+            pairs.append((max(expected), " ".join(own)))
+        pairs += [(1000 * k + j + (j > 14) * 900, " ".join(fresh(30) + shared[10:50] + fresh(30))) for j in range(30)]
+    found = {r["doc_id"]: r for r in repeated_passages(documents(pairs)).collect()}
+    assert {k: r["class_id"] for k, r in found.items()} == expected
+    assert all((30, 90) == tuple(r["spans"][0]) and r["n_links"] == 1 for r in found.values())
+
+
+def test_places_that_only_texts_of_other_places_share_are_compared(documents):
+    """A text with a passage of one half of another's, and one with the other half: their common middle ties neither to the wrong one."""
+    dice = random.Random(22)
+    fresh = lambda n: [f"w{dice.randrange(10**8)}" for _ in range(n)]
+    left, middle, right = fresh(12), fresh(45), fresh(12)
+    texts = [left + middle + right, left + middle + fresh(20), fresh(20) + middle + right]
+    texts += [fresh(20) + middle + fresh(20) for _ in range(12)]
+    found = {r["doc_id"]: r for r in repeated_passages(documents([(k, " ".join(t)) for k, t in enumerate(texts)])).collect()}
+    assert {k: [tuple(s) for s in r["spans"]] for k, r in found.items()} == {0: [(0, 57), (12, 69)], 1: [(0, 57)], 2: [(20, 77)]}
+
+
+def test_passages_in_other_order_or_beside_earlier_places():
+    dice = random.Random(23)
+    fresh = lambda n: [f"w{dice.randrange(10**7)}" for _ in range(n)]
+    digests = lambda w: shingles([x.encode() for x in w])
+
+    def found(a, b):
+        return passages(digests(a), digests(b), np.ones(len(a) - 4, bool), 46, 0.8)
+
+    one, two = fresh(30), fresh(30)
+    assert found(one + two, two + one) == [(0, 56, 0, 56)]
+    passage = fresh(50)
+    assert found(passage, passage[:10] + fresh(70) + passage) == [(0, 46, 80, 126)]
