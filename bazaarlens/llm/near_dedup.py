@@ -211,7 +211,7 @@ def _classes(placed: DataFrame, compared: DataFrame, bodies: DataFrame, idf: np.
     entries = written(in_tasks(open_bodies, _weighted_prefixes(idf, percent / 100), "token bigint, node binary, size double, place double"))
     lists = written(meeting(written(bounded(entries.join(written(shared_tokens(entries)), "token", "left_semi"), percent))))
     compare = lambda pairs: overlaps(pairs, bodies, _weighted_meetings(idf), "double", BLOCK)
-    return all_links(lists, links, compared.select("a", "b"), references_of(compared), compare, percent)
+    return all_links(lists, links, compared.select("a", "b"), references_of(compared), compare, percent, roots=joined)
 
 
 def near_classes(

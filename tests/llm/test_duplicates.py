@@ -10,7 +10,9 @@ import pyarrow as pa
 import pytest
 
 import __spark_entry__ as contract
+from bazaarlens.llm import components as linked
 from bazaarlens.llm import near_dedup as near
+from bazaarlens.llm import ngram_join
 from bazaarlens.llm.components import components
 from bazaarlens.llm.shingles import shingles, words
 from bazaarlens.llm.substring_dedup import compact_windows, passages, repeated_passages
@@ -42,6 +44,26 @@ def test_components_against_plain_code(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def counting(monkeypatch, module, name):
+    """The results of every call of the module's function from here on."""
+    calls, own = [], getattr(module, name)
+    monkeypatch.setattr(module, name, lambda *args: calls.append(own(*args)) or calls[-1])
+    return calls
+
+
+def test_components_of_stars_take_no_further_round(spark, monkeypatch):
+    tables = counting(monkeypatch, linked, "written")
+    stars = [(k % 5, k) for k in range(5, 60)] + [(70, 70)]
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(stars, "a bigint, b bigint")).collect()}
+    assert found == {k: k % 5 for k in range(60)} and len(tables) == 1
+
+
+def test_components_of_the_same_links_are_found_once(documents, corpus, monkeypatch):
+    once, again = counting(monkeypatch, near, "components"), counting(monkeypatch, ngram_join, "components")
+    near.near_classes(documents(corpus)).count()
+    assert len(once) == 1 and len(again) <= 1
+
+
 def weighted_jaccard(a, b, idf):
     (fa, wa), (fb, wb) = near.weighted(a, idf), near.weighted(b, idf)
     one, two = dict(zip(fa.tolist(), wa.tolist())), dict(zip(fb.tolist(), wb.tolist()))
