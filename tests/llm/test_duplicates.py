@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import random
 import re
+import time
 from itertools import combinations
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 import __spark_entry__ as contract
 from bazaarlens.llm import components as linked
 from bazaarlens.llm import near_dedup as near
-from bazaarlens.llm import ngram_join
+from bazaarlens.llm import ngram_join, substring_dedup
 from bazaarlens.llm.components import components
 from bazaarlens.llm.shingles import shingles, words
 from bazaarlens.llm.substring_dedup import compact_windows, passages, repeated_passages
@@ -305,3 +306,22 @@ def test_passages_in_other_order_or_beside_earlier_places():
     assert found(one + two, two + one) == [(0, 56, 0, 56)]
     passage = fresh(50)
     assert found(passage, passage[:10] + fresh(70) + passage) == [(0, 46, 80, 126)]
+
+
+def test_stretches_of_texts_that_repeat_themselves_are_as_similar_as_their_sets():
+    dice = random.Random(31)
+    for _ in range(40):
+        a, b = (np.array([dice.randrange(12) for _ in range(60)]) for _ in range(2))
+        start, ends = dice.randrange(20), np.array(sorted(dice.sample(range(21, 60), 8), reverse=True))
+        lowest, highest = np.array(sorted(dice.sample(range(25), 8))), np.array(sorted(dice.sample(range(26, 60), 8), reverse=True))
+        sets = [(set(a[start:e].tolist()), set(b[low:high].tolist())) for e, low, high in zip(ends, lowest, highest)]
+        expected = [len(x & y) / len(x | y) >= 0.8 for x, y in sets]
+        assert substring_dedup._similar(a, b, start, ends, lowest, highest, 0.8).tolist() == expected
+
+
+def test_all_ends_of_a_stretch_are_told_in_one_pass():
+    a, b = np.arange(20_000) % 4000, 4000 + np.arange(20_000) % 4000
+    ends = np.arange(20_000, 10_000, -1)
+    began = time.process_time()
+    assert not substring_dedup._similar(a, b, 0, ends, np.zeros(len(ends), int), ends, 0.8).any()
+    assert time.process_time() - began < 0.5
