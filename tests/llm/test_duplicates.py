@@ -4,7 +4,7 @@ import os
 import random
 import re
 import time
-from itertools import combinations
+from itertools import combinations, count
 
 import numpy as np
 import pyarrow as pa
@@ -325,3 +325,57 @@ def test_all_ends_of_a_stretch_are_told_in_one_pass():
     began = time.process_time()
     assert not substring_dedup._similar(a, b, 0, ends, np.zeros(len(ends), int), ends, 0.8).any()
     assert time.process_time() - began < 0.5
+
+
+def test_passages_of_many_texts_are_those_of_each():
+    """With parts that repeat, move, and change; an empty text has none."""
+    dice = random.Random(41)
+    found = 0
+    for vocabulary in (6, 40, 5000) * 8:
+        base = [dice.randrange(vocabulary) for _ in range(dice.randrange(60, 260))]
+
+        def variant(x):
+            for _ in range(dice.randrange(8)):
+                i, j = dice.randrange(len(x)), dice.randrange(len(x))
+                x = dice.choice([x[:i] + [9999] + x[i + 1 :], x[:i] + x[j : j + 70] + x[i:], x[i:] + x[:i]])
+            return shingles([str(w).encode() for w in x])
+
+        hub, many = variant(base), [variant(base) for _ in range(5)] + [np.empty(0, np.uint64)]
+        own = substring_dedup.passages_of_many(many, hub, 46, 0.8)
+        assert own == [passages(a, hub, np.ones(len(a), bool), 46, 0.8) for a in many]
+        found += sum(map(len, own))
+        for a, spans in zip(many, own):
+            for i, j, m, n in spans:
+                one, other = set(a[i:j].tolist()), set(hub[m:n].tolist())
+                assert j - i >= 46 and len(one & other) >= 0.8 * len(one | other)
+    assert found > 100
+
+
+def test_a_hubs_texts_are_compared_together():
+    """Texts that share 30 words with a hub, and so no passage, cost far less together than one by one."""
+    fresh = count()
+    digests = lambda n: [b"w%d" % next(fresh) for _ in range(n)]
+    common = digests(30)
+    hub = shingles(digests(100) + common + digests(100))
+    many = [shingles(digests(40) + common + digests(40)) for _ in range(1000)]
+    where = substring_dedup.places_of(hub)
+    began = time.process_time()
+    assert not any(substring_dedup.passages_of_many(many, hub, 46, 0.8, where))
+    together = time.process_time() - began
+    began = time.process_time()
+    for own in many:
+        assert not passages(own, hub, np.ones(len(own), bool), 46, 0.8, where)
+    assert together < 0.5 * (time.process_time() - began)
+
+
+def test_words_are_cut_at_every_other_ascii_character():
+    text = bytes(range(256)) + "İstanbul K Ünder\x00x".encode()
+    assert words(text) == re.findall(rb"[a-z0-9\x80-\xff]+", text.lower())
+
+
+def test_words_of_copied_texts_are_counted_once_for_all(documents):
+    """Letters whose lower case is ASCII, and texts of fewer words than a passage, which have no row."""
+    text = "İ K " + " ".join(f"W{k}" for k in range(60)) + " \t.x"
+    few = " ".join(f"v{k}" for k in range(49))
+    rows = repeated_passages(documents([(1, text), (2, text), (3, few), (4, few)])).collect()
+    assert {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in rows} == {1: [(0, 63)], 2: [(0, 63)]}
